@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import WORD, materialize
 
 #: Documents of a source are dealt into so many slices for running sums: one slice holds about this many rows.
-SLICE_ROWS = 50_000
+SLICE_ROWS = 2_000
 
 
 def sizes(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ from .common import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces of one length are ranked in slices of about this many rows.
-SLICE_ROWS = 50_000
+SLICE_ROWS = 2_000
 BATCH_CHARS = 1 << 22
 
 

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash
+from . import chat, embed_dedup, imatch, licenses, mixing, packing, pii, simhash, substring, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -30,11 +34,41 @@ FROM t GROUP BY conv_id
 """
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_paths(table(spark, sf_dir, "documents")))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
+SQL6 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 11, 1))) AS i FROM w),
+g AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 12], ' ')) AS h FROM p),
+lo AS (SELECT h, min(doc_id) AS least FROM g GROUP BY h),
+hit AS (SELECT g.doc_id, unnest(range(i, i + 13)) AS k FROM g JOIN lo USING (h) WHERE g.doc_id > lo.least),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM hit GROUP BY doc_id),
+k AS (SELECT w.doc_id, words, coalesce(ks, []) AS ks FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(words) AS n_words, CAST(len(ks) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(ks, i)), ' ')) AS kept_sha256
+FROM k
+"""
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -49,5 +83,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op5_source_mixing, op8_best_fit_packing, op9_simhash)}
-ORACLE_SQL = {"op2_chat_formatting": SQL2}
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_chat_formatting, op3_license_scan, op4_embedding_dedup, op5_source_mixing,
+        op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
+    )
+}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op6_substring_dedup": SQL6}
