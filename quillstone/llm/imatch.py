@@ -17,8 +17,10 @@ from .common import materialize
 LEAST_SHARE, MOST_SHARE = 1 / 500, 1 / 10
 #: The lexicon is broadcast up to this many terms and joined by a shuffle beyond.
 BROADCAST_TERMS = 500_000
-#: Subsets of the lexicon; each term is in two of them, by its hash.
-SUBSETS = 32
+#: Subsets of the lexicon: SAME_RATE subsets for each rate, a subset of rate 2**-bits holding that share of the lexicon.
+#: Dense subsets tell short texts apart, sparse ones leave long texts something in common after an edit.
+RATES, SAME_RATE = (4, 6, 8, 10), 16
+SUBSETS = len(RATES) * SAME_RATE
 #: Documents are dealt into ranges of about this many ids to find each one's successor.
 RANGE_ROWS = 50_000
 NULL_ID = -(1 << 63)
@@ -41,15 +43,17 @@ def subset_hashes(hashes: Column, text: Column) -> Column:
 
     A text without any term of the lexicon has the hash of its whole text everywhere, so that it equals its copies only.
     """
-    mine = lambda k: F.filter(hashes, lambda h: (h.bitwiseAND(F.lit(SUBSETS - 1)) == k) | (F.shiftright(h, 5).bitwiseAND(F.lit(SUBSETS - 1)) == k))
-    low = lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    low = lambda h: F.greatest(h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(1))
 
-    def one(k: Column) -> Column:
-        own = mine(k)
-        return F.when(F.size(own) == 0, F.lit(0)).otherwise(F.greatest(low(F.xxhash64(F.array_sort(own))), F.lit(1)))
+    def of_rate(bits: int, shift: int) -> Column:
+        number = lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1))
+        own = F.filter(hashes, lambda h: number(h) < SAME_RATE)
+        subset = lambda k: F.filter(own, lambda h: number(h) == k)
+        return F.transform(F.sequence(F.lit(0), F.lit(SAME_RATE - 1)), lambda k: F.when(F.size(subset(k)) == 0, F.lit(0)).otherwise(low(F.xxhash64(subset(k)))))
 
-    empty = F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: F.greatest(low(F.xxhash64(k, text)), F.lit(1)))
-    return F.when(F.size(hashes) == 0, empty).otherwise(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one))
+    shifts = [sum(RATES[:i]) for i in range(len(RATES))]
+    empty = F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: low(F.xxhash64(k, text)))
+    return F.when(F.size(hashes) == 0, empty).otherwise(F.concat(*map(of_rate, RATES, shifts)))
 
 
 def likeness(a: Column, b: Column) -> Column:
