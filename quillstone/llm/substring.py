@@ -9,23 +9,30 @@ A window of 13 words is represented by its highest symbol (ties: the largest has
 single word, mostly a symbol of four to eight words. Neighbouring windows share theirs, so there are several times fewer
 than windows. Only symbols that occur in two documents reveal possible repeats; only windows represented by such are
 verified, by hashes of all their words.
+
+Documents are dealt once into blocks by a hash of their id, and the three passes (symbols, suspected windows, removal)
+read that one shuffle. A block tells the corpus of each symbol or window once, with the least and the largest of its own
+documents, however many hold it: a passage in a third of all documents is one row for each block.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 WINDOW = 13
 ROUNDS = 4
-#: Words that are worked on at a time; only a longer document makes a larger block.
-BLOCK_WORDS = 1 << 20
+#: Characters of a block, on average, and words that are worked on at a time; longer texts are cut into overlapping parts.
+BLOCK_CHARS, PART_WORDS = 2_000_000, 1 << 18
 _FAR = 1 << 60
 NULL_ID = (1 << 63) - 1
 
@@ -41,8 +48,8 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def word_hashes(tokens: list[bytes], seed: int = 0) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(t, seed) for t in tokens), np.uint64, len(tokens))
+def word_hashes(tokens: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
 
 def window_starts(sizes: np.ndarray) -> np.ndarray:
@@ -112,126 +119,145 @@ def representatives(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return best
 
 
-def blocks(ids: list, texts: list) -> Iterator[tuple[list, list[list[bytes]]]]:
-    """Documents in blocks of BLOCK_WORDS or one document, whichever is more."""
-    docs, held, n = [], [], 0
-    for i, t in zip(ids, texts, strict=True):
-        w = words(t)
-        docs.append(i)
-        held.append(w)
-        n += len(w)
-        if n >= BLOCK_WORDS:
-            yield docs, held
-            docs, held, n = [], [], 0
-    if docs:
-        yield docs, held
-
-
-def _laid(held: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.array([len(w) for w in held], np.int64)
-    return word_hashes([t for w in held for t in w]), sizes, np.repeat(np.arange(len(held)), sizes)
-
+def window_digests(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits for each window: a long and an int."""
+    return window_hashes(h, 7).view(np.int64), (window_hashes(mix(h ^ np.uint64(0xA0761D6478BD642F)), 11) >> np.uint64(33)).astype(np.int64)
 
-def symbols(docs: DataFrame) -> DataFrame:
-    """(symbol, doc) for the symbols that represent a window of each document, once each."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for ids, held in blocks(b["doc"].tolist(), b["text"].tolist()):
-                h, sizes, doc = _laid(held)
-                if not len(h):
-                    continue
-                own = window_starts(sizes)
-                key, doc = representatives(h, sizes)[own], doc[own]
-                new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])] if len(key) else np.zeros(0, bool)
-                out = pd.DataFrame({"symbol": key[new].view(np.int64), "doc": np.array(ids, np.int64)[doc[new]]})
-                yield out.drop_duplicates()
+def parts(held: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Word hashes of documents laid end to end, the parts' sizes and each part's document, PART_WORDS or so at a time.
 
-    return docs.mapInPandas(run, "symbol long, doc long")
-
-
-def suspects(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc) of the windows that a shared symbol represents: 96 bits of two independent hashes of the words.
-
-    docs: doc, text, shared (array<long>).
+    A document longer than that is cut into parts that overlap by twelve words, so that each window lies in one of them;
+    its symbols depend on its own words only and come out the same.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            known = dict(zip(range(len(b)), b["shared"], strict=True))
-            for rows, held in blocks(list(range(len(b))), b["text"].tolist()):
-                h, sizes, doc = _laid(held)
-                if not len(h):
-                    continue
-                own, key = window_starts(sizes), representatives(h, sizes).view(np.int64)
-                hit, at = np.zeros(len(h), bool), np.r_[0, np.cumsum(sizes)]
-                for k, row in enumerate(rows):
-                    hit[at[k] : at[k + 1]] = np.isin(key[at[k] : at[k + 1]], np.asarray(known[row], np.int64))
-                hit &= own
-                h1, h2 = window_digests(h, held)
-                ids = b["doc"].to_numpy(np.int64)[np.array(rows)[doc[hit]]]
-                yield pd.DataFrame({"h1": h1[hit], "h2": h2[hit], "doc": ids}).drop_duplicates()
-
-    return docs.mapInPandas(run, "h1 long, h2 int, doc long")
-
-
-def window_digests(h: np.ndarray, held: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    second = word_hashes([t for w in held for t in w], 1)
-    return window_hashes(h, 7).view(np.int64), (window_hashes(second, 11) >> np.uint64(33)).astype(np.int32)
-
-
-def removals(docs: DataFrame) -> DataFrame:
-    """doc, n_words, n_removed, kept_sha256, and removed: the covered stretches as an array of (start, end) in words.
-
-    docs: doc, text, repeated (array<struct<h1, h2>> or null), the windows that a smaller document holds as well.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for doc, text, repeated in zip(b["doc"], b["text"], b["repeated"], strict=True):
-                w, spans = words(text), []
-                if repeated is not None and len(repeated):
-                    h1, h2 = window_digests(word_hashes(w), [w])
-                    first = np.fromiter((r["h1"] for r in repeated), np.int64)
-                    maybe = np.flatnonzero(np.isin(h1[: max(0, len(w) - WINDOW + 1)], first))
-                    exact = {(r["h1"], r["h2"]) for r in repeated}
-                    for i in maybe.tolist():
-                        if (int(h1[i]), int(h2[i])) in exact:
-                            if spans and i <= spans[-1][1]:
-                                spans[-1][1] = i + WINDOW
-                            else:
-                                spans.append([i, i + WINDOW])
-                kept, at, gone = hashlib.sha256(), 0, 0
-                glue = b""
-                for start, end in [*spans, [len(w), len(w)]]:
-                    if start > at:
-                        kept.update(glue + b" ".join(w[at:start]))
-                        glue = b" "
-                    gone += end - start
-                    at = end
-                rows.append((doc, len(w), gone, kept.hexdigest(), [{"start": s, "stop": e} for s, e in spans]))
-            yield pd.DataFrame(rows, columns=["doc", "n_words", "n_removed", "kept_sha256", "removed"])
-
-    return docs.mapInPandas(run, "doc long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,stop:long>>")
+    hashes, sizes, docs, n = [], [], [], 0
+    for i, w in enumerate(held):
+        for at in range(0, max(1, len(w) - WINDOW + 1), PART_WORDS):
+            part = w[at : at + PART_WORDS + WINDOW - 1]
+            if len(part) < WINDOW:
+                continue
+            hashes.append(word_hashes(part))
+            sizes.append(len(part))
+            docs.append(i)
+            n += len(part)
+            if n >= PART_WORDS:
+                yield np.concatenate(hashes), np.array(sizes), np.array(docs)
+                hashes, sizes, docs, n = [], [], [], 0
+    if hashes:
+        yield np.concatenate(hashes), np.array(sizes), np.array(docs)
+
+
+def extremes(keys: list[np.ndarray], docs: np.ndarray) -> pd.DataFrame:
+    """Each distinct row of keys with the least and the largest of docs."""
+    frame = pd.DataFrame({f"k{i}": k for i, k in enumerate(keys)} | {"doc": docs})
+    names = [f"k{i}" for i in range(len(keys))]
+    out = frame.groupby(names, sort=False)["doc"].agg(["min", "max"]).reset_index()
+    return out.rename(columns={"min": "low", "max": "high"})
+
+
+def originals(block: pd.DataFrame, flags: pd.DataFrame) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Ids and words of the documents of a block that are no copies of a document with a smaller id."""
+    copies = set(zip(flags.loc[flags["kind"] == 0, "a"], flags.loc[flags["kind"] == 0, "b"], strict=True))
+    own = [(d, t) for d, h, t in zip(block["doc"], block["text_hash"], block["text"], strict=True) if (d, h) not in copies]
+    return np.array([d for d, _ in own], np.int64), [words(t) for _, t in own]
+
+
+def find_symbols(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
+    """symbol, block, low, high of the symbols that represent a window of the block's documents."""
+    out = []
+    ids, held = originals(block, flags)
+    for h, sizes, part in parts(held):
+        own = window_starts(sizes)
+        key, doc = representatives(h, sizes)[own], ids[np.repeat(part, sizes)[own]]
+        new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
+        out.append((key[new].view(np.int64), doc[new]))
+    if not out:
+        return pd.DataFrame({"symbol": [], "block": [], "low": [], "high": []}, dtype="int64")
+    found = extremes([np.concatenate([k for k, _ in out])], np.concatenate([d for _, d in out]))
+    return pd.DataFrame({"symbol": found["k0"], "block": block["block"].iloc[0], "low": found["low"], "high": found["high"]})
+
+
+def find_suspects(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
+    """h1, h2, block, low, high of the windows that a shared symbol represents."""
+    out = []
+    shared = np.sort(flags.loc[flags["kind"] == 1, "a"].to_numpy(np.int64))
+    ids, held = originals(block, flags) if len(shared) else (np.zeros(0, np.int64), [])
+    for h, sizes, part in parts(held):
+        key = representatives(h, sizes).view(np.int64)
+        hit = window_starts(sizes) & (shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
+        h1, h2 = window_digests(h)
+        out.append((h1[hit], h2[hit], ids[np.repeat(part, sizes)[hit]]))
+    if not out:
+        return pd.DataFrame({"h1": [], "h2": [], "block": [], "low": [], "high": []}, dtype="int64")
+    found = extremes([np.concatenate([x[i] for x in out]) for i in (0, 1)], np.concatenate([x[2] for x in out]))
+    return pd.DataFrame({"h1": found["k0"], "h2": found["k1"], "block": block["block"].iloc[0], "low": found["low"], "high": found["high"]})
+
+
+def covered(w: list[bytes], doc: int, first: np.ndarray, least: dict[tuple[int, int], int]) -> list[list[int]]:
+    """[start, end) stretches of a document that repeated windows cover; first: sorted h1 of the repeated windows."""
+    spans: list[list[int]] = []
+    for at in range(0, len(w) - WINDOW + 1, PART_WORDS):
+        h1, h2 = window_digests(word_hashes(w[at : at + PART_WORDS + WINDOW - 1]))
+        h1, h2 = h1[: len(h1) - WINDOW + 1], h2[: len(h2) - WINDOW + 1]
+        maybe = np.flatnonzero(first[np.minimum(np.searchsorted(first, h1), len(first) - 1)] == h1)
+        for i, a, b in zip((maybe + at).tolist(), h1[maybe].tolist(), h2[maybe].tolist(), strict=True):
+            if least.get((a, b), doc) < doc:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + WINDOW
+                else:
+                    spans.append([i, i + WINDOW])
+    return spans
+
+
+def remove(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
+    """The result's rows for a block's documents."""
+    copies = set(zip(flags.loc[flags["kind"] == 0, "a"], flags.loc[flags["kind"] == 0, "b"], strict=True))
+    again = flags[flags["kind"] == 2]
+    least = dict(zip(zip(again["a"].tolist(), again["b"].tolist(), strict=True), again["c"].tolist(), strict=True))
+    first, rows = np.unique(again["a"].to_numpy(np.int64)), []
+    for doc, h, text in zip(block["doc"], block["text_hash"], block["text"], strict=True):
+        w = words(text)
+        if (doc, h) in copies:
+            spans = [[0, len(w)]] if len(w) >= WINDOW else []
+        else:
+            spans = covered(w, doc, first, least) if len(first) else []
+        kept, at, gone, glue = hashlib.sha256(), 0, 0, b""
+        for start, end in [*spans, [len(w), len(w)]]:
+            if start > at:
+                kept.update(glue + b" ".join(w[at:start]))
+                glue = b" "
+            gone, at = gone + end - start, end
+        rows.append((doc, len(w), gone, kept.hexdigest(), [{"start": s, "stop": e} for s, e in spans]))
+    return pd.DataFrame(rows, columns=["doc", "n_words", "n_removed", "kept_sha256", "removed"])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, removed) for each row of docs.
+    """(doc_id, n_words, n_removed, kept_sha256, removed) for each row of docs; removed: (start, stop) in words.
 
     A word is removed if a window of 13 words covers it that also starts in a document with a smaller doc_id, as the
     documents came. Rows that share an id are not smaller than each other; null ids are larger than all others; null
-    text has no words, a text of fewer than 13 words keeps them. Other columns are not read. Minima are aggregated
-    before each shuffle, and the joins back are left to AQE's skew handling, so that a passage in a third of all
-    documents is spread out.
+    text has no words, a text of fewer than 13 words keeps them. Whole texts that a smaller id has as well are known by
+    their hash and take no part in the search. Other columns are not read.
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    seen = symbols(texts)
-    shared = seen.groupBy("symbol").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("symbol")
-    per_doc = seen.join(shared, "symbol").groupBy("doc").agg(F.collect_set("symbol").alias("shared"))
-    windows = suspects(texts.join(per_doc, "doc"))
-    least = windows.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("h1", "h2", "low")
-    again = windows.join(least, ["h1", "h2"]).where("doc > low")
-    per_doc = again.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("repeated"))
-    out = removals(texts.join(per_doc, "doc", "left"))
+    ids = materialize(texts.select("doc", F.xxhash64("text").alias("text_hash"), F.unhex(F.md5("text")).alias("md"), F.length("text").alias("chars")), "ids")
+    count = max(1, math.ceil((ids.agg(F.sum("chars")).first()[0] or 0) / BLOCK_CHARS))
+    block = F.pmod(F.xxhash64("doc"), F.lit(count)).cast("int").alias("block")
+    least = ids.groupBy("md").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    copies = ids.join(least, "md").where("doc > least").select(block, F.lit(0).alias("kind"), F.col("doc").alias("a"), F.col("text_hash").alias("b"), F.lit(0).cast("long").alias("c"))
+    copies = materialize(copies, "copies")
+    dealt = texts.select(block, "doc", F.xxhash64("text").alias("text_hash"), "text").groupBy("block")
+    none = F.lit(0).cast("long")
+
+    seen = dealt.cogroup(copies.groupBy("block")).applyInPandas(find_symbols, "symbol long, block int, low long, high long")
+    everywhere = Window.partitionBy("symbol")
+    seen = seen.select("symbol", "block", F.min("low").over(everywhere).alias("low"), F.max("high").over(everywhere).alias("high"))
+    shared = seen.where("low < high").select("block", F.lit(1).alias("kind"), F.col("symbol").alias("a"), none.alias("b"), none.alias("c"))
+
+    windows = dealt.cogroup(copies.unionByName(shared).groupBy("block")).applyInPandas(find_suspects, "h1 long, h2 long, block int, low long, high long")
+    windows = windows.select("h1", "h2", "block", "high", F.min("low").over(Window.partitionBy("h1", "h2")).alias("low"))
+    repeated = windows.where("low < high").select("block", F.lit(2).alias("kind"), F.col("h1").alias("a"), F.col("h2").alias("b"), F.col("low").alias("c"))
+
+    schema = "doc long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,stop:long>>"
+    out = dealt.cogroup(copies.unionByName(repeated).groupBy("block")).applyInPandas(remove, schema)
     return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "removed")
