@@ -116,3 +116,20 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     demand = F.coalesce(F.try_divide(start * F.col("weight"), F.col("source_size")), F.lit(0.0))
     out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), invert(F.col("knots"), demand).alias("position"))
     return out.repartitionByRange("position").sortWithinPartitions("position", "doc_id")
+
+
+def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17) -> DataFrame:
+    """The rows of docs, each as often as the mixture takes it, range-sorted by position; columns are unchanged.
+
+    Only ids, sizes and positions go through the mixture; texts are joined to the result. Rows that share id and text
+    are taken as often as one of them. Documents without words belong to no source's demand and stay once.
+    """
+    word_hash = F.xxhash64("text")
+    keys = docs.select("doc_id", "source", "text", word_hash.alias("_text"))
+    mixed = mix(keys, weights, most, seed, keep=["_text"])
+    copies = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
+    mixed = mixed.groupBy("doc_id", "_text").agg(F.first(copies).alias("_copies"), F.min("position").alias("_position"))
+    mixed = materialize(mixed.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies", "_position"), "mixed")
+    out = docs.withColumn("_text", word_hash).join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return out.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)
