@@ -47,9 +47,11 @@ def subset_hashes(hashes: Column, text: Column) -> Column:
 
     def of_rate(bits: int, shift: int) -> Column:
         number = lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1))
-        own = F.filter(hashes, lambda h: number(h) < SAME_RATE)
-        subset = lambda k: F.filter(own, lambda h: number(h) == k)
-        return F.transform(F.sequence(F.lit(0), F.lit(SAME_RATE - 1)), lambda k: F.when(F.size(subset(k)) == 0, F.lit(0)).otherwise(low(F.xxhash64(subset(k)))))
+        every = F.sequence(F.lit(0), F.lit(SAME_RATE - 1))
+        # the array of an array binds the rate's terms, and then each subset, to a variable: each is computed once
+        mine = F.array(F.filter(hashes, lambda h: number(h) < SAME_RATE))
+        subsets = F.flatten(F.transform(mine, lambda own: F.transform(every, lambda k: F.filter(own, lambda h: number(h) == k))))
+        return F.transform(subsets, lambda s: F.when(F.size(s) == 0, F.lit(0)).otherwise(low(F.xxhash64(s))))
 
     shifts = [sum(RATES[:i]) for i in range(len(RATES))]
     empty = F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: low(F.xxhash64(k, text)))
