@@ -58,13 +58,18 @@ def window_starts(sizes: np.ndarray) -> np.ndarray:
     return left >= WINDOW
 
 
-def window_hashes(h: np.ndarray, seed: int) -> np.ndarray:
-    """A hash of the words i..i+12 for each i (the last twelve are of no use)."""
-    n = len(h)
-    out = np.full(n, np.uint64(seed), np.uint64)
-    for k in range(min(WINDOW, n)):
-        out[: n - k] = mix(out[: n - k] * np.uint64(0x9E3779B97F4A7C15) + h[k:])
-    return out
+#: An odd multiplier and its inverse modulo 2**64 for each of the two window hashes.
+_BASES = tuple((p, pow(p, -1, 1 << 64)) for p in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
+
+
+def window_hashes(h: np.ndarray, which: int) -> np.ndarray:
+    """A hash of the words i..i+12 for each i that has so many, from differences of a running polynomial in the words' hashes."""
+    base, inverse = (np.full(len(h), np.uint64(x), np.uint64) for x in _BASES[which])
+    up, down = np.multiply.accumulate(base), np.multiply.accumulate(inverse)
+    total = np.cumsum(mix(h + np.uint64(which)) * up)
+    n = max(0, len(h) - WINDOW + 1)
+    before = np.r_[np.zeros(1, np.uint64), total[: max(0, n - 1)]][:n]
+    return mix((total[WINDOW - 1 :][:n] - before) * down[:n])
 
 
 def representatives(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -121,7 +126,7 @@ def representatives(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def window_digests(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """96 bits for each window: a long and an int."""
-    return window_hashes(h, 7).view(np.int64), (window_hashes(mix(h ^ np.uint64(0xA0761D6478BD642F)), 11) >> np.uint64(33)).astype(np.int64)
+    return window_hashes(h, 0).view(np.int64), (window_hashes(h, 1) >> np.uint64(33)).astype(np.int64)
 
 
 def parts(held: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -147,12 +152,15 @@ def parts(held: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield np.concatenate(hashes), np.array(sizes), np.array(docs)
 
 
-def extremes(keys: list[np.ndarray], docs: np.ndarray) -> pd.DataFrame:
-    """Each distinct row of keys with the least and the largest of docs."""
-    frame = pd.DataFrame({f"k{i}": k for i, k in enumerate(keys)} | {"doc": docs})
-    names = [f"k{i}" for i in range(len(keys))]
-    out = frame.groupby(names, sort=False)["doc"].agg(["min", "max"]).reset_index()
-    return out.rename(columns={"min": "low", "max": "high"})
+def least_of(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each distinct row of keys, the least of its docs, and whether it has others."""
+    order = np.lexsort((docs, *keys[::-1]))
+    keys, docs = [k[order] for k in keys], docs[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(docs)] - 1
+    return [k[first] for k in keys], docs[first], docs[last] > docs[first]
 
 
 def originals(block: pd.DataFrame, flags: pd.DataFrame) -> tuple[np.ndarray, list[list[bytes]]]:
@@ -163,71 +171,80 @@ def originals(block: pd.DataFrame, flags: pd.DataFrame) -> tuple[np.ndarray, lis
 
 
 def find_symbols(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
-    """symbol, block, low, high of the symbols that represent a window of the block's documents."""
-    out = []
+    """symbol, low, more of the symbols that represent a window of the block's documents: the least one and whether there are others."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     ids, held = originals(block, flags)
     for h, sizes, part in parts(held):
         own = window_starts(sizes)
         key, doc = representatives(h, sizes)[own], ids[np.repeat(part, sizes)[own]]
         new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
         out.append((key[new].view(np.int64), doc[new]))
-    if not out:
-        return pd.DataFrame({"symbol": [], "block": [], "low": [], "high": []}, dtype="int64")
-    found = extremes([np.concatenate([k for k, _ in out])], np.concatenate([d for _, d in out]))
-    return pd.DataFrame({"symbol": found["k0"], "block": block["block"].iloc[0], "low": found["low"], "high": found["high"]})
+    (symbol,), low, more = least_of([np.concatenate([k for k, _ in out])], np.concatenate([d for _, d in out]))
+    return pd.DataFrame({"symbol": symbol, "low": low, "more": more})
 
 
 def find_suspects(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
-    """h1, h2, block, low, high of the windows that a shared symbol represents."""
-    out = []
+    """h1, h2, low, more of the windows that a shared symbol represents."""
+    out = [tuple(np.zeros(0, np.int64) for _ in range(3))]
     shared = np.sort(flags.loc[flags["kind"] == 1, "a"].to_numpy(np.int64))
     ids, held = originals(block, flags) if len(shared) else (np.zeros(0, np.int64), [])
     for h, sizes, part in parts(held):
         key = representatives(h, sizes).view(np.int64)
         hit = window_starts(sizes) & (shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
+        at = np.flatnonzero(hit)
         h1, h2 = window_digests(h)
-        out.append((h1[hit], h2[hit], ids[np.repeat(part, sizes)[hit]]))
-    if not out:
-        return pd.DataFrame({"h1": [], "h2": [], "block": [], "low": [], "high": []}, dtype="int64")
-    found = extremes([np.concatenate([x[i] for x in out]) for i in (0, 1)], np.concatenate([x[2] for x in out]))
-    return pd.DataFrame({"h1": found["k0"], "h2": found["k1"], "block": block["block"].iloc[0], "low": found["low"], "high": found["high"]})
-
-
-def covered(w: list[bytes], doc: int, first: np.ndarray, least: dict[tuple[int, int], int]) -> list[list[int]]:
-    """[start, end) stretches of a document that repeated windows cover; first: sorted h1 of the repeated windows."""
-    spans: list[list[int]] = []
-    for at in range(0, len(w) - WINDOW + 1, PART_WORDS):
-        h1, h2 = window_digests(word_hashes(w[at : at + PART_WORDS + WINDOW - 1]))
-        h1, h2 = h1[: len(h1) - WINDOW + 1], h2[: len(h2) - WINDOW + 1]
-        maybe = np.flatnonzero(first[np.minimum(np.searchsorted(first, h1), len(first) - 1)] == h1)
-        for i, a, b in zip((maybe + at).tolist(), h1[maybe].tolist(), h2[maybe].tolist(), strict=True):
-            if least.get((a, b), doc) < doc:
-                if spans and i <= spans[-1][1]:
-                    spans[-1][1] = i + WINDOW
+        out.append((h1[at], h2[at], ids[np.repeat(part, sizes)[at]]))
+    (h1, h2), low, more = least_of([np.concatenate([x[i] for x in out]) for i in (0, 1)], np.concatenate([x[2] for x in out]))
+    return pd.DataFrame({"h1": h1, "h2": h2, "low": low, "more": more})
+
+
+def covered(held: list[list[bytes]], ids: list[int], flags: pd.DataFrame) -> dict[int, list[list[int]]]:
+    """[start, end) stretches of each document, by its place in held, that repeated windows cover."""
+    again = flags[flags["kind"] == 2]
+    least = dict(zip(zip(again["a"].tolist(), again["b"].tolist(), strict=True), again["c"].tolist(), strict=True))
+    first, spans = np.unique(again["a"].to_numpy(np.int64)), {}
+    reached: dict[int, int] = {}  # words of a document in the parts before
+    for h, sizes, part in parts(held) if len(first) else ():
+        begins = np.r_[0, np.cumsum(sizes)[:-1]]
+        base = []
+        for k, n in zip(part.tolist(), sizes.tolist(), strict=True):
+            base.append(reached.get(k, 0))
+            reached[k] = base[-1] + n - WINDOW + 1
+        h1 = window_hashes(h, 0).view(np.int64)
+        inside = window_starts(sizes)[: len(h1)]
+        maybe = np.flatnonzero(inside & (first[np.minimum(np.searchsorted(first, h1), len(first) - 1)] == h1))
+        if not len(maybe):
+            continue
+        h2 = (window_hashes(h, 1) >> np.uint64(33)).astype(np.int64)
+        place = np.searchsorted(begins, maybe, side="right") - 1
+        for i, p, a, b in zip(maybe.tolist(), place.tolist(), h1[maybe].tolist(), h2[maybe].tolist(), strict=True):
+            k = int(part[p])
+            if least.get((a, b), ids[k]) < ids[k]:
+                start = i - int(begins[p]) + base[p]
+                own = spans.setdefault(k, [])
+                if own and start <= own[-1][1]:
+                    own[-1][1] = start + WINDOW
                 else:
-                    spans.append([i, i + WINDOW])
+                    own.append([start, start + WINDOW])
     return spans
 
 
 def remove(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
     """The result's rows for a block's documents."""
     copies = set(zip(flags.loc[flags["kind"] == 0, "a"], flags.loc[flags["kind"] == 0, "b"], strict=True))
-    again = flags[flags["kind"] == 2]
-    least = dict(zip(zip(again["a"].tolist(), again["b"].tolist(), strict=True), again["c"].tolist(), strict=True))
-    first, rows = np.unique(again["a"].to_numpy(np.int64)), []
-    for doc, h, text in zip(block["doc"], block["text_hash"], block["text"], strict=True):
-        w = words(text)
-        if (doc, h) in copies:
-            spans = [[0, len(w)]] if len(w) >= WINDOW else []
-        else:
-            spans = covered(w, doc, first, least) if len(first) else []
+    ids, held = block["doc"].tolist(), [words(t) for t in block["text"]]
+    is_copy = [(d, h) in copies for d, h in zip(ids, block["text_hash"], strict=True)]
+    spans = covered([[] if c else w for w, c in zip(held, is_copy, strict=True)], ids, flags)
+    rows = []
+    for k, (doc, w) in enumerate(zip(ids, held, strict=True)):
+        own = ([[0, len(w)]] if len(w) >= WINDOW else []) if is_copy[k] else spans.get(k, [])
         kept, at, gone, glue = hashlib.sha256(), 0, 0, b""
-        for start, end in [*spans, [len(w), len(w)]]:
+        for start, end in [*own, [len(w), len(w)]]:
             if start > at:
                 kept.update(glue + b" ".join(w[at:start]))
                 glue = b" "
             gone, at = gone + end - start, end
-        rows.append((doc, len(w), gone, kept.hexdigest(), [{"start": s, "stop": e} for s, e in spans]))
+        rows.append((doc, len(w), gone, kept.hexdigest(), [{"start": s, "stop": e} for s, e in own]))
     return pd.DataFrame(rows, columns=["doc", "n_words", "n_removed", "kept_sha256", "removed"])
 
 
@@ -249,14 +266,18 @@ def dedup(docs: DataFrame) -> DataFrame:
     dealt = texts.select(block, "doc", F.xxhash64("text").alias("text_hash"), "text").groupBy("block")
     none = F.lit(0).cast("long")
 
-    seen = dealt.cogroup(copies.groupBy("block")).applyInPandas(find_symbols, "symbol long, block int, low long, high long")
-    everywhere = Window.partitionBy("symbol")
-    seen = seen.select("symbol", "block", F.min("low").over(everywhere).alias("low"), F.max("high").over(everywhere).alias("high"))
-    shared = seen.where("low < high").select("block", F.lit(1).alias("kind"), F.col("symbol").alias("a"), none.alias("b"), none.alias("c"))
-
-    windows = dealt.cogroup(copies.unionByName(shared).groupBy("block")).applyInPandas(find_suspects, "h1 long, h2 long, block int, low long, high long")
-    windows = windows.select("h1", "h2", "block", "high", F.min("low").over(Window.partitionBy("h1", "h2")).alias("low"))
-    repeated = windows.where("low < high").select("block", F.lit(2).alias("kind"), F.col("h1").alias("a"), F.col("h2").alias("b"), F.col("low").alias("c"))
+    # a row's least document tells its block, and with `more` whether the block holds a document above the corpus's least
+    seen = dealt.cogroup(copies.groupBy("block")).applyInPandas(find_symbols, "symbol long, low long, more boolean")
+    least = F.min("low").over(Window.partitionBy("symbol"))
+    others = F.max("low").over(Window.partitionBy("symbol")) > least
+    any_more = F.max("more").over(Window.partitionBy("symbol"))
+    shared = seen.select("symbol", "low", (others | any_more).alias("shared")).where("shared")
+    at = lambda doc: F.pmod(F.xxhash64(doc), F.lit(count)).cast("int").alias("block")
+    shared = shared.select(at("low"), F.lit(1).alias("kind"), F.col("symbol").alias("a"), none.alias("b"), none.alias("c"))
+
+    windows = dealt.cogroup(copies.unionByName(shared).groupBy("block")).applyInPandas(find_suspects, "h1 long, h2 long, low long, more boolean")
+    windows = windows.select("h1", "h2", "low", "more", F.min("low").over(Window.partitionBy("h1", "h2")).alias("least"))
+    repeated = windows.where("more or low > least").select(at("low"), F.lit(2).alias("kind"), F.col("h1").alias("a"), F.col("h2").alias("b"), F.col("least").alias("c"))
 
     schema = "doc long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,stop:long>>"
     out = dealt.cogroup(copies.unionByName(repeated).groupBy("block")).applyInPandas(remove, schema)
