@@ -34,7 +34,8 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """(term, df) of the terms in the band, counted over all rows of docs."""
     n = docs.count()
-    df = docs.select(F.explode(terms(F.col("text"))).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    # the outer generators keep the optimizer from computing the arrays a second time, for a filter on their size
+    df = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
     return materialize(df.where((F.col("df") >= F.lit(least * n)) & (F.col("df") <= F.lit(max(most * n, 1.0)))), "lexicon")
 
 
@@ -120,7 +121,7 @@ def compare_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOS
     marked = lambda text, which: F.transform(terms(text), lambda t: F.struct(t.alias("term"), F.lit(which).alias("which")))
     own = own.withColumn("parts", F.concat(marked(F.col("text"), 0), marked(F.col("edited"), 1)))
     own = own.withColumn("parts", F.concat("parts", F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("which")))))
-    found = own.select("k", "h", "sha", "eh", F.inline("parts")).join(words.withColumn("ok", F.lit(True)), "term", "left").where("ok or which = 2")
+    found = own.select("k", "h", "sha", "eh", F.inline_outer("parts")).join(words.withColumn("ok", F.lit(True)), "term", "left").where("ok or which = 2")
     pick = lambda i: F.array_sort(F.collect_set(F.when((F.col("which") == i) & F.col("ok"), F.xxhash64("term"))))
     grouped = found.groupBy("k", "h", "sha", "eh").agg(pick(0).alias("a"), pick(1).alias("b"))
     prints = grouped.select("k", "h", "sha", subset_hashes(F.col("a"), F.col("h")).alias("f"), subset_hashes(F.col("b"), F.col("eh")).alias("e"))

@@ -53,7 +53,7 @@ def document_frequencies(files: DataFrame, templates: DataFrame) -> DataFrame:
     """(term, idf) of the templates' terms over all rows of files: ln((1 + N) / (1 + df)) + 1."""
     vocabulary = sorted({w for _, text in TEMPLATES for w in re.findall(r"[^\W_]+", text.lower())})
     seen = F.array_intersect(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, vocabulary)))
-    df = files.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    df = files.select(F.explode_outer(seen).alias("term")).where("term is not null").groupBy("term").agg(F.count("*").alias("df"))
     n = float(files.count())
     out = templates.select("term").distinct().join(df, "term", "left")
     return materialize(out.select("term", (F.log(F.lit(1 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf")), "idf")
@@ -75,7 +75,7 @@ def direct(files: DataFrame) -> DataFrame:
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(ANCHORS))
     whole = F.when(name.rlike(LICENCE_FILE), F.array(F.col("text"))).otherwise(F.array().cast("array<string>"))
-    units = files.select("path", F.explode(F.array_distinct(F.concat(lines, whole))).alias("line"))
+    units = files.select("path", F.explode_outer(F.array_distinct(F.concat(lines, whole))).alias("line")).where("line is not null")
     words = units.select("path", F.xxhash64("line").alias("unit"), F.explode(_terms(F.col("line"))).alias("term"))
     counts = words.groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
     counts = counts.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(unseen) + 1))
