@@ -71,7 +71,8 @@ def links(distinct: DataFrame) -> DataFrame:
     a, b = keyed.alias("a"), keyed.alias("b")
     meet = "(a.bit = -1 and (b.bit = -1 or b.bit >= 0)) or (a.bit >= 0 and b.bit > a.bit)"
     near = f"a.key = b.key and a.fp < b.fp and ({meet}) and bit_count(a.fp ^ b.fp) <= {RADIUS}"
-    return a.join(b, F.expr(near)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+    # the planner sizes a side by its fingerprints and not by their balls, 131 times as many: it must not broadcast one
+    return a.join(b.hint("merge"), F.expr(near)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:
