@@ -56,6 +56,17 @@ def organisations() -> list[str]:
     return sorted({*legal.COURTS, *legal.TRIBUNALS, *legal.REGULATORS, *legal.AUTHORITIES}, key=lambda p: (-len(p), p))
 
 
+#: A rule is tried only on texts that hold one of these; every match of it does. Rules without an entry are always tried.
+ANCHORS = {
+    "const_article": ["Article"], "clause_subsec_sec": ["Clause"], "clause_sec": ["Clause"], "proviso_sec": ["roviso"], "explanation_sec": ["xplanation"], "subsec_sec": ["Sub"], "order_rule": ["Order"],
+    "schedule": ["Schedule"], "sec_with_sub": ["ection"], "sec_plain": ["ection"], "rule_plain": ["Rule"], "chapter": ["Chapter"], "para": ["para"], "so": ["S.O."], "gsr": ["G.S.R."], "circular": ["Circular"],
+    "instruction": ["Instruction"], "letter": ["Letter"], "fno": ["No"], "press": ["Press"], "notif_no": ["Notification"], "order_no": ["Order"], "cbdt_ref": ["CB"], "wef": ["w.e.f"], "iso": ["-"],
+    "dd_mm_yyyy_dash": ["-"], "dd_mm_yyyy_slash": ["/"], "dd_mm_yyyy_dot": ["."], "fy": ["F"], "ay": ["A"], "inr_crore_lakh": ["Rs", "INR", "₹"], "crore_lakh_words": ["Rs", "INR", "₹"], "numeral_crore": ["rupee"],
+    "usd": ["USD"], "eur": ["EUR"], "gbp": ["GBP"], "rupee_sym": ["₹"], "rs_plain": ["Rs"],
+    **dict.fromkeys(("dd_month_yyyy", "month_dd_yyyy", "month_year"), ["uary", "March", "April", "May", "June", "July", "August", "ember", "October"]),
+}
+
+
 class Finder:
     """Finds candidates (label, text, start, end), in the order of emission: rules by label and priority, acts, the act heuristic, organisations."""
 
@@ -64,7 +75,8 @@ class Finder:
 
         order = {label: i for i, label in enumerate(dict.fromkeys([*LABELS, *(r[0] for r in own_rules)]))}
         ranked = sorted(own_rules, key=lambda r: (order[r[0]], r[2]))
-        self.rules = [(label, re.compile(rf"(?<!\w){pattern}(?!\w)")) for label, _, _, pattern in ranked]
+        own = {(r[1], r[3]) for s in ("standard", "builtin") for r in rules(s)}
+        self.rules = [(label, re.compile(rf"(?<!\w){pattern}(?!\w)"), ANCHORS.get(name) if (name, pattern) in own else None) for label, name, _, pattern in ranked]
         self.heuristic = re.compile(heuristic) if heuristic else None
         self.automaton, self.phrases = None, []
         known: dict[str, list[int]] = {}
@@ -94,8 +106,9 @@ class Finder:
                 if own := m[0].strip():
                     yield label, own, m.start(), m.start() + len(own)
 
-        for label, pattern in self.rules:
-            yield from matches(label, pattern)
+        for label, pattern, anchors in self.rules:
+            if anchors is None or any(a in text for a in anchors):
+                yield from matches(label, pattern)
         named = self._phrases(text)
         yield from named.pop("ACT_NAME", ())
         if self.heuristic:
@@ -141,7 +154,7 @@ def resolve(candidates: Column) -> Column:
 def candidates(docs: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
     """One row for each candidate of docs: key, label, span_text, start, end, ord."""
     found = docs.select(key, finder(**options)(F.col(text)).alias("c"))
-    return found.select(key, F.inline("c")).withColumnRenamed("text", "span_text")
+    return found.select(key, F.inline_outer("c")).where("start is not null").withColumnRenamed("text", "span_text")
 
 
 def annotate(docs: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
@@ -151,4 +164,6 @@ def annotate(docs: DataFrame, key: str, text: str = "text", **options) -> DataFr
 
 
 def entities(annotated: DataFrame, key: str) -> DataFrame:
-    return annotated.select(key, F.inline("entities")).withColumnRenamed("text", "span_text")
+    """One row for each entity: key, label, span_text, start, end."""
+    # an inner generator would have the optimizer compute the array again, for a filter on its size
+    return annotated.select(key, F.inline_outer("entities")).where("start is not null").withColumnRenamed("text", "span_text")

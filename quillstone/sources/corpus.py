@@ -44,7 +44,7 @@ GOLD = " UNION ALL ".join(
 MARKDOWN_LINES = f"""SELECT cust AS doc_id, sid, CASE WHEN ln = 1 THEN CASE WHEN oid % 3 = 0 THEN '<!-- page ' || CAST(oid % 97 + 1 AS STRING) || ' -->' || chr(10) ELSE '' END
     || repeat('#', CAST(oid % 5 + 1 AS INT)) || ' Order ' || CAST(oid AS STRING) || chr(10) ELSE '' END || text AS line FROM ({SENTENCES}) AS sentences"""
 
-PDF_SPANS = """SELECT l_orderkey AS doc_id, CAST(l_linenumber % 2 + 1 AS INT) AS page_no, CAST(600.0 AS DOUBLE) AS page_width, CAST(l_linenumber * 100000 + l_partkey AS INT) AS block_no, CAST(0 AS INT) AS line_no, k AS span_no,
+PDF_SPANS = """SELECT l_orderkey AS doc_id, CAST(l_linenumber % 2 + 1 AS INT) AS page_no, CAST(600.0 AS DOUBLE) AS page_width, CAST((l_linenumber * 100000 + l_partkey) * 1000 + l_suppkey % 1000 AS BIGINT) AS block_no, CAST(0 AS INT) AS line_no, k AS span_no,
     CASE WHEN l_partkey % 17 = 0 THEN 1 ELSE 0 END AS kind, CAST(l_suppkey % 6 * 75 AS DOUBLE) AS x0, CAST(l_partkey % 5 * 60 AS DOUBLE) AS y0, CAST(l_suppkey % 6 * 75 + 50 AS DOUBLE) AS x1,
     CAST(l_partkey % 5 * 60 + 12 AS DOUBLE) AS y1, CAST(CASE (l_partkey + k) % 4 WHEN 0 THEN 10 WHEN 1 THEN 10 WHEN 2 THEN 12 ELSE 16 END AS DOUBLE) AS size,
     CASE WHEN k = 0 THEN 'Clause  ' ELSE CAST(l_partkey AS STRING) END AS text FROM lineitem, (SELECT 0 AS k UNION ALL SELECT 1 AS k) AS two"""
@@ -56,9 +56,16 @@ LINKS = " UNION ALL ".join(f"SELECT {_URL.format(k='c_custkey')} AS src, {pos} A
 SEEDS = f"SELECT {_URL.format(k='c_custkey')} AS url, c_custkey AS ord FROM customer WHERE c_custkey BETWEEN 1 AND 7"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """scan, dealt anew where it has fewer partitions than the cluster has cores: one small file is otherwise one task."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def views(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TABLES) -> None:
     for name in names:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        (spread(scan) if name == "lineitem" else scan).createOrReplaceTempView(name)
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
