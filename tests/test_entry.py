@@ -1,4 +1,6 @@
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -18,7 +20,7 @@ def db():
 
 
 def plain(v):
-    return None if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    return None if pd.isna(v) else round(float(v), 6) if isinstance(v, (int, float, np.number)) and not isinstance(v, bool) else str(v)
 
 
 #: One line of this smallest table is there twice, and SQL over sentence ids counts its pair of spans four times.

@@ -12,7 +12,7 @@ CASES = {
         ("see Section 44 here", "Section 44"), ("Section 7B was added", "Section 7B"), ("Section 3(4)(c) says", "Section 3(4)(c)"), ("by section 12 (3) too", "section 12 (3)"),
         ("Sub-section (2) of Section 9 holds", "Sub-section (2) of Section 9"), ("Clause (d) of Section 11(2) lists", "Clause (d) of Section 11(2)"),
         ("Clause (c) of Sub-section (4) of Section 8A", "Clause (c) of Sub-section (4) of Section 8A"), ("second proviso to Section 14", "second proviso to Section 14"),
-        ("Proviso to Sub-section (1) of Section 6", "Proviso to Sub-section (1) of Section 6"), ("Explanation 3 to Section 5(2)", "Explanation 3 to Section 5(2)"), ("explanation to Section 5", None),
+        ("Proviso to Sub-section (1) of Section 6", "Proviso to Sub-section (1) of Section 6"), ("Explanation 3 to Section 5(2)", "Explanation 3 to Section 5(2)"), ("explanation to Section 5", "explanation to Section 5"),
         ("the Second Schedule to the Act", "Second Schedule to the Act"), ("IVth Schedule", "IVth Schedule"), ("Order V Rule 20 applies", "Order V Rule 20"), ("Rule 8D(2) too", "Rule 8D(2)"),
         ("Chapter XII-B", "Chapter XII-B"), ("Chapter 4", "Chapter 4"), ("Article 19(1) of the Constitution", "Article 19(1) of the Constitution"), ("paragraph 6(b)", "paragraph 6(b)"), ("para 11", "para 11"),
         ("xSection 5", None), ("rule 7 of", None), ("Section 5b", None), ("Sectional 5", None),
