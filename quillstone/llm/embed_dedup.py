@@ -124,13 +124,14 @@ def _compare(classes: DataFrame, n: int, width: int, threshold: float, margin: f
 
     placed = classes.select("label", "id", "copies", "embedding").mapInPandas(deal, "cell long, home boolean, label string, id long, copies long, embedding array<float>")
     placed = materialize(placed, "placed")
-    sizes = placed.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    dealt = placed.join(sizes, ["label", "cell"])
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
+    sizes = placed.groupBy("label", "cell").agg(blocks(F.count_if("home")).alias("home_blocks"), blocks(F.count("*")).alias("all_blocks"))
+    dealt = placed.join(sizes.where("home_blocks > 0"), ["label", "cell"])
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # block i of the home rows meets block j of all rows of the cell: each product has a task of bounded size
-    left = dealt.where("home").select("label", "cell", "id", "copies", "embedding", block.alias("i"), F.explode(every).alias("j"), F.lit(True).alias("is_home"))
-    right = dealt.select("label", "cell", "id", "copies", "embedding", F.explode(every).alias("i"), block.alias("j"), F.lit(False).alias("is_home"))
+    left = dealt.where("home").select("label", "cell", "id", "copies", "embedding", block("home_blocks").alias("i"), F.explode(every("all_blocks")).alias("j"), F.lit(True).alias("is_home"))
+    right = dealt.select("label", "cell", "id", "copies", "embedding", F.explode(every("home_blocks")).alias("i"), block("all_blocks").alias("j"), F.lit(False).alias("is_home"))
 
     def product(group: pd.DataFrame) -> pd.DataFrame:
         h, m = group[group["is_home"]], group[~group["is_home"]]
