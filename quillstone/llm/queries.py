@@ -42,6 +42,46 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def licenses_sql() -> str:
+    """The licence scan in SQL, with the operator's templates and patterns as literals."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    templates = ", ".join(f"({i}, {quoted(name)}, {quoted(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES))
+    part = lambda c: f"coalesce(replace({c}, '/', '_'), 'none')"
+    words = lambda c: f"regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}]+')"
+    return rf"""
+WITH p AS (SELECT doc_id, coalesce(text, '') AS text, {part('source')} || '/' || {part('lang')} AS top, {part('source')} || '/' || {part('lang')} || '/' || CAST(floor(coalesce(doc_id, 0) / 640) AS BIGINT) AS deep FROM documents),
+f AS (SELECT doc_id, text, CASE WHEN doc_id % 256 = 0 THEN top || '/LICENSE-' || doc_id WHEN doc_id % 64 = 0 THEN deep || '/LICENSE-' || doc_id ELSE deep || '/' || coalesce(doc_id, -1) || '.txt' END AS path FROM p),
+t0 AS (SELECT * FROM (VALUES {templates}) AS x(template, license, body)),
+t AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({words('body')}) AS term FROM t0) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM f),
+df AS (SELECT term, count(DISTINCT path) AS df FROM (SELECT path, unnest(list_distinct({words('text')})) AS term FROM f) WHERE term IN (SELECT term FROM t) GROUP BY term),
+idf AS (SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM t) LEFT JOIN df USING (term), n),
+w AS (SELECT license, template, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM t JOIN idf USING (term)),
+u0 AS (SELECT path, unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{licenses.ANCHORS}')), CASE WHEN regexp_matches(regexp_extract(path, '([^/]*)$', 1), '{licenses.LICENCE_FILE}') THEN [text] ELSE [] END))) AS line FROM f),
+u AS (SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({words('line')}) AS term FROM u0) GROUP BY ALL),
+c AS (SELECT path, line, term, tf * coalesce(idf, ln(n + 1.0) + 1) AS w FROM u LEFT JOIN idf USING (term), n),
+len AS (SELECT path, line, sqrt(sum(w * w)) AS length FROM c GROUP BY ALL),
+s AS (SELECT path, license, round(sum(w * weight) / min(length), 9) AS score FROM c JOIN w USING (term) JOIN len USING (path, line) GROUP BY path, line, template, license),
+d AS (SELECT path, license, score FROM s WHERE score >= {licenses.LEAST_COSINE} QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+g AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS up, min(path) AS inherited_from, arg_min(license, path) AS inherited FROM d WHERE regexp_matches(regexp_extract(path, '([^/]*)$', 1), '{licenses.LICENCE_FILE}') GROUP BY 1),
+dirs AS (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM f),
+ups AS (SELECT dir, k AS distance, array_to_string(string_split(dir, '/')[1:len(string_split(dir, '/')) - k], '/') AS up FROM dirs, (SELECT unnest(range(0, 8)) AS k) WHERE k < len(string_split(dir, '/'))),
+near AS (SELECT dir, inherited, inherited_from, distance FROM ups JOIN g USING (up) QUALIFY row_number() OVER (PARTITION BY dir ORDER BY distance) = 1)
+SELECT doc_id, path, d.license, score, inherited, inherited_from, distance FROM f LEFT JOIN d USING (path) LEFT JOIN near ON dir = regexp_extract(path, '^(.*)/[^/]*$', 1)
+"""
+
+
+SQL4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON r.id = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, (SELECT min(c) FROM r WHERE r.id = vec_id) AS component_id,
+  (SELECT min(c) FROM r WHERE r.id = vec_id) = vec_id AS kept FROM embeddings
+"""
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -94,4 +134,4 @@ QUERIES = {
         op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
     )
 }
-ORACLE_SQL = {"op2_chat_formatting": SQL2, "op6_substring_dedup": SQL6}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op6_substring_dedup": SQL6}
