@@ -98,13 +98,15 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     plan = targets(weights(per.select("source", "source_size")), most)
     per = per.select(F.col("source").alias("s"), F.ceil(F.col("rows") / SLICE_ROWS).alias("slices"))
     plan = materialize(plan.join(per, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "plan")
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # 60 bits of a hash that other engines have as well
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     known = sized.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source")).select("d.*", "p.source_size", "p.target", "p.weight", "p.knots", "p.slices", order.alias("_order"))
-    known = known.withColumn("_slice", F.floor(F.shiftrightunsigned("_order", 1) / F.lit(2.0**63) * F.col("slices")))
+    known = known.withColumn("_slice", F.floor(F.col("_order") / F.lit(2.0**60) * F.col("slices")))
     by_slice = known.groupBy("source", "_slice").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     by_slice = by_slice.select(F.col("source").alias("s"), F.col("_slice").alias("sl"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "_slice").orderBy(F.shiftrightunsigned("_order", 1), "doc_id", "size")
+    inside = Window.partitionBy("source", "_slice").orderBy("_order", "doc_id", "size")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ran = known.withColumn("_upto", F.sum("size").over(inside))
     ran = ran.join(by_slice, F.col("source").eqNullSafe(F.col("s")) & (F.col("_slice") == F.col("sl")))

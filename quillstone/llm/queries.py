@@ -84,7 +84,23 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, (SELECT m
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
+
+SQL5 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS o FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+s1 AS (SELECT *, CAST(place % 3 + 1 AS DOUBLE) AS w, CASE WHEN place % 2 = 1 THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END AS tilt, source_size * 3.0::DOUBLE AS cap FROM s0),
+s2 AS (SELECT *, cap / w AS full_at, CAST(sum(source_size) OVER () AS DOUBLE) AS total, sum(w) OVER () AS all_w FROM s1),
+s3 AS (SELECT *, (total - coalesce(sum(cap) OVER b, 0)) / (all_w - coalesce(sum(w) OVER b, 0)) AS try_at FROM s2 WINDOW b AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT *, least(cap, max(CASE WHEN try_at <= full_at THEN try_at END) OVER () * w) AS target FROM s3),
+r AS (SELECT d.doc_id, d.size, s.*, sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
+    FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+c AS (SELECT *, floor(coalesce(target / nullif(source_size, 0), 0)) AS whole, coalesce(start * w / nullif(source_size, 0), 0) AS demand, w * (1 - tilt) AS w0, 2 * w * tilt AS slope FROM r)
+SELECT doc_id, size, source_size, target, CAST(least(whole + CASE WHEN start + size / 2 < target - whole * source_size THEN 1 ELSE 0 END, 3) * size AS BIGINT) AS taken,
+  round(least(2 * demand / (w0 + sqrt(w0 * w0 + 2 * slope * demand)), 1), 9) AS position FROM c
+"""
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,4 +150,4 @@ QUERIES = {
         op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
     )
 }
-ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op6_substring_dedup": SQL6}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6}
