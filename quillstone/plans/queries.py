@@ -113,9 +113,8 @@ _ABS = f"""CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
     a AS (SELECT page_id, pos, regexp_replace({_ABS}, '#.*$', '') AS url FROM u WHERE href <> '' AND NOT regexp_matches(href, '^(#|mailto:|tel:|javascript:)'))
     SELECT page_id, pos, {_NORM} AS link, lower({_PART.format(u='url', i=2)}) AS domain FROM a WHERE NOT ({_SUFFIX} IN ({', '.join(f"'.{x}'" for x in U.SKIPPED)}))""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = H.links(read(spark, sf_dir, "pages").select(F.struct("page_id", "url").alias("p"), "url", "html").withColumnRenamed("url", "u").withColumn("url", F.col("u")).drop("u"), "url", "html")
-    ids = read(spark, sf_dir, "pages").select("page_id", "url").distinct()
-    return own.distinct().join(ids, "url").select("page_id", F.col("pos").cast("long").alias("pos"), "link", "domain")
+    own = H.links(read(spark, sf_dir, "pages"), keep=("page_id",))
+    return own.select("page_id", *long("pos"), "link", "domain")
 
 
 _FLAT = r"regexp_replace(html, '(?is)<!--.*?-->', ' ', 'g')"
@@ -265,7 +264,7 @@ def eval_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'macro' AS scope, round(avg(precision), 4) AS precision, round(avg(recall), 4) AS recall, round(avg(f1), 4) AS f1 FROM r
     UNION ALL SELECT 'micro', round(tp / np, 4), round(tp / ng, 4), round(2 * (tp / np) * (tp / ng) / (tp / np + tp / ng), 4) FROM t""")
 def eval_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred, gold = _resolved(spark, sf_dir), _faulty(spark, sf_dir)
+    pred, gold = _resolved(spark, sf_dir).persist(), _faulty(spark, sf_dir)  # read twice
     scored = E.scores(E.strict_counts(pred, gold, "sid"))
     return E.averages(scored, pred.agg(F.count("*").alias("n")), gold.agg(F.count("*").alias("n")))
 
