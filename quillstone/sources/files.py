@@ -43,7 +43,7 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 def read_html(spark: SparkSession, path: str) -> DataFrame:
     """path, html of the pages under a folder; invalid UTF-8 is replaced."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.decode("content", "utf-8").alias("html"))
+    return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def write_report(report: DataFrame, path: str) -> None:

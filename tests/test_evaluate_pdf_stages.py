@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quillstone.operators import evaluate, pdf, summary
@@ -90,8 +92,11 @@ def test_stages_from_files_to_reports(spark, tmp_path):
     text = "by Section 9 of 2020-01-02"
     (tmp_path / "gold").mkdir()
     (tmp_path / "gold" / "g.json").write_text(json.dumps({"text": text, "entities": [{"label": "SECTION_REF", "text": "Section 9", "start": 3, "end": 12}, {"label": "MONEY", "text": "zzz", "start": 0, "end": 2}]}), encoding="utf-8")
-    for stage in ("parse", "chunk", "annotate", "evaluate"):
-        pipeline.STAGES[stage](spark, root)
+    (tmp_path / "raw" / "bad.html").write_bytes(b"<p>caf\xe9</p>")
+    assert {r.html for r in files.read_html(spark, f"{root}/raw").collect()} >= {"<p>caf\ufffd</p>"}
+    with pytest.raises(SystemExit):
+        pipeline.main([root, "nothing"])
+    pipeline.main([root])
     (chunk,) = files.read_jsonl(spark, f"{root}/chunks", "chunks").collect()
     assert chunk.chunk_id.endswith(":0001") and chunk.section_path == ["Duty"] and chunk.title == "Duty"
     (entities,) = files.read_jsonl(spark, f"{root}/annotations", "annotations").collect()
