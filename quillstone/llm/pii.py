@@ -30,7 +30,7 @@ NEAR_WORDS = 8
 #: So many candidate terms at most are sent to the executors for counting; beyond it they are joined instead.
 BROADCAST_TERMS = 200_000
 
-_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -52,7 +52,9 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
     """Each match begins at the left end of the local characters before an @ that are not part of the match before it."""
     done = 0
     for m in _HOST.finditer(text) if "@" in text else ():
-        start = len(text[done : m.start()].rstrip(_LOCAL)) + done
+        start = m.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
         if start < m.start():
             yield start, m.end()
             done = m.end()

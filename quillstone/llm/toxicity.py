@@ -33,7 +33,9 @@ FEATURES = (
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 _SHOUT = re.compile(r"\b[A-Z]{3,}\b")
-_MIXED = re.compile(r"[^\W\d_][^\W\d_0-9@$!*|+]*[0-9@$!*|+]+[^\W\d_][\w@$!*|+]*")
+_INNER = re.compile(r"(?<=[^\W\d_])[0-9@$*!|+]+(?=[^\W\d_])")
+_SYMBOLS = frozenset("0123456789@$*!|+")
+MIXED_CHARS = 64
 _PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "*": None})
 _PUNCT = [b for b in range(33, 127) if not chr(b).isalnum()]
 
@@ -47,6 +49,22 @@ def stems(text: str) -> set[str]:
     return out
 
 
+def mixed_words(text: str) -> list[str]:
+    """Words with digits or symbols between letters, at most MIXED_CHARS to each side of the first such place."""
+    out, done = [], 0
+    for m in _INNER.finditer(text):
+        if m.start() < done:
+            continue
+        start, end = m.span()
+        while start > max(done, m.start() - MIXED_CHARS) and (text[start - 1].isalpha() or text[start - 1] in _SYMBOLS):
+            start -= 1
+        while end < min(len(text), m.end() + MIXED_CHARS) and (text[end].isalpha() or text[end] in _SYMBOLS):
+            end += 1
+        out.append(text[start:end])
+        done = end
+    return out
+
+
 @dataclass
 class Lexicon:
     """Weights of word beginnings and of whole words (ended by a "$")."""
@@ -97,7 +115,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         before, after = low[max(0, start - 90) : start].split()[-NEAR_WORDS:], low[start + len(word) : start + len(word) + 90].split()[:NEAR_WORDS]
         for side in (reversed(before), after):
             near = max([near, *(1.0 / (1 + d) for d, w in enumerate(side) if w.strip(".,;:!?") in SECOND_PERSON)])
-    mixed = _MIXED.findall(text) if int(raw[48:58].sum() + raw[[64, 36, 33, 42, 124, 43]].sum()) else []
+    mixed = mixed_words(text) if int(raw[48:58].sum() + raw[[64, 36, 33, 42, 124, 43]].sum()) else []
     disguised = [lexicon.word(m.lower().translate(_PLAIN)) for m in mixed]
     second = sum(low.count(f" {w} ") for w in ("you", "your", "du", "dich", "tu", "vous", "usted"))
     shouted = len(_SHOUT.findall(text)) if int(raw[65:91].sum()) else 0

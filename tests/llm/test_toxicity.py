@@ -30,6 +30,7 @@ def test_features_see_proximity_and_disguise():
     assert get("you are an idiot")["second_person_near"] > get("you " + "word " * 8 + "idiot")["second_person_near"] > get("an idiot")["second_person_near"] == 0
     assert get("an id10t here, 1d!ot!")["obfuscated_lexicon"] >= 1 and get("nothing here")["obfuscated_lexicon"] == 0
     assert get("Schurke, idiots, idiot")["lexicon_distinct"] == 2
+    assert get("x" * 2_000_000 + " 1")["obfuscated_per_1000"] == 0  # in linear time
     assert get("IDIOT STOP")["capitals"] == 1 and set(get("").values()) == {0.0}
 
 
