@@ -260,7 +260,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     ids = materialize(texts.select("doc", F.xxhash64("text").alias("text_hash"), F.unhex(F.md5("text")).alias("md"), F.length("text").alias("chars")), "ids")
     count = max(1, math.ceil((ids.agg(F.sum("chars")).first()[0] or 0) / BLOCK_CHARS))
     block = F.pmod(F.xxhash64("doc"), F.lit(count)).cast("int").alias("block")
-    least = ids.groupBy("md").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    # written, so that the join below has a shuffle of its own on either side and AQE can split a very common text
+    least = materialize(ids.groupBy("md").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "least")
     copies = ids.join(least, "md").where("doc > least").select(block, F.lit(0).alias("kind"), F.col("doc").alias("a"), F.col("text_hash").alias("b"), F.lit(0).cast("long").alias("c"))
     copies = materialize(copies, "copies")
     dealt = texts.select(block, "doc", F.xxhash64("text").alias("text_hash"), "text").groupBy("block")
