@@ -2,8 +2,9 @@
 
 The pattern matches are the protected entities. Over the whole corpus it is counted in how many documents an entity
 occurs, a term occurs, and both occur with the term near the entity. A term's disclosure of an entity is their pointwise
-mutual information over the entity's own information, 1 where the term gives the entity away wholly. In documents that
-hold the entity, terms near it that disclose at least GENERALISE of it are generalised to their class, and those that
+mutual information over the entity's own information, 1 where the term gives the entity away wholly. Every entity and pair is
+estimated, with a prior of independence worth PRIOR_DOCS documents, so that small counts need a large corpus. In documents
+that hold the entity, terms near it that disclose at least GENERALISE of it are generalised to their class, and those that
 disclose at least REMOVE are removed.
 """
 
@@ -23,8 +24,9 @@ from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.8, 0.95
-#: Entities and pairs seen in fewer documents say nothing about the corpus.
-LEAST_DOCS = 3
+#: The share of a term's documents that hold an entity is estimated as if so many more documents held the term, and the
+#: entity as often among them as anywhere. A pair of one document then discloses GENERALISE from 1,024 documents on.
+PRIOR_DOCS = 3
 #: Words on each side of an entity that may disclose it.
 NEAR_WORDS = 8
 #: So many candidate terms at most are sent to the executors for counting; beyond it they are joined instead.
@@ -155,13 +157,15 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of at least GENERALISE, from counts over all documents."""
     pairs = scanned.select("uid", F.explode("contexts").alias("c")).select("uid", "c.entity", "c.term").distinct()
-    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= LEAST_DOCS), "pairs")
+    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")), "pairs")
     n_entity = scanned.select(F.explode("entities.entity").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     n_term = term_counts(docs, pairs.select("term").distinct()).withColumnRenamed("n", "n_term")
     total = F.lit(float(scanned.count()))
     joined = pairs.join(n_entity, "entity").join(n_term, "term")
     information = F.log(total / F.col("n_entity"))
-    shared = F.log(F.col("n_both") * total / (F.col("n_entity") * F.greatest("n_term", "n_both")))
+    anywhere = F.col("n_entity") / total
+    given = (F.col("n_both") + PRIOR_DOCS * anywhere) / (F.greatest("n_term", "n_both") + PRIOR_DOCS)
+    shared = F.log(given / anywhere)
     out = joined.select("entity", "term", F.coalesce(F.try_divide(shared, information), F.lit(0.0)).alias("disclosure"))
     return materialize(out.where(F.col("disclosure") >= GENERALISE), "disclosures")
 

@@ -92,3 +92,11 @@ def test_overlapping_kinds_go_whole():
 
 def test_empty_table(none):
     assert pii.report(none).count() == 0 and pii.sanitise(none).count() == 0
+
+
+def test_pairs_of_one_and_two_documents_disclose(spark):
+    rows = [(0, "write to Vorpel at once.rare@example.com about common words"), *((i, "Jubjub has twice.rare@example.com with common words") for i in (1, 2))]
+    rows += [(i, f"common words about number {i}") for i in range(3, 2000)]
+    got = {r.doc_id: pii.replace(rows[r.doc_id][1], [t.asDict() for t in r.terms]) for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).selectExpr("cast(substring_index(doc, ':', 1) as long) as doc_id", "terms").collect()}
+    assert "Vorpel" not in got[0] and "[EMAIL]" in got[0] and all("Jubjub" not in got[i] and "[EMAIL]" in got[i] for i in (1, 2))
+    assert "common words" in got[0] and got[1].endswith("common words") and all(got[i] == rows[i][1] for i in range(3, 2000))
