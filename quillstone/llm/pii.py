@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+import sys
+import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,7 +32,7 @@ GENERALISE, REMOVE = 0.8, 0.95
 PRIOR_DOCS = 3
 #: Words on each side of an entity that may disclose it.
 NEAR_WORDS = 8
-#: So many candidate terms at most are sent to the executors for counting; beyond it they are joined instead.
+#: So many terms at most are sent to the executors, and counted by a task at a time; beyond it they are joined instead.
 BROADCAST_TERMS = 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,7 +40,7 @@ _HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 SCANNED = """uid_doc string, n_email long, n_ip long, n_card long, n_phone long, base string,
     entities array<struct<entity:long,kind:string>>, contexts array<struct<entity:long,term:string,start:int,stop:int>>"""
 
@@ -94,6 +97,25 @@ def _hash(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+@cache
+def _term(most: int) -> re.Pattern:
+    """A term: a run of at least three letters and marks, up to the code point most."""
+    held = [c for c in range(most + 1) if unicodedata.category(chr(c))[0] in "LM"]
+    first = [c for c, before in zip(held, [-2, *held], strict=False) if c != before + 1]
+    last = [c for c, after in zip(held, [*held[1:], -2], strict=True) if after != c + 1]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last, strict=True)) + "]{3,}")
+
+
+def term_pattern(text: str) -> re.Pattern:
+    """The pattern of terms; texts without characters beyond 16 bits have a quicker one that finds the same in them."""
+    return _term(sys.maxunicode if _ASTRAL.search(text) else 0xFFFF)
+
+
+def terms_of(text: str) -> set[str]:
+    """The distinct terms of a text in lower case, as contexts() has them."""
+    return {w.lower() for w in set(term_pattern(text).findall(text))}
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list, list]:
     """Entities of a text and the terms near them that are outside all spans: [(entity, kind)], [(entity, term, start, end)]."""
     entities, near = {}, []
@@ -105,16 +127,15 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list, list]:
             starts.append(s)
             ends.append(e)
     outside = lambda m: (k := bisect_left(starts, m.end())) == 0 or ends[k - 1] <= m.start()
+    words = list(term_pattern(text).finditer(text)) if spans else []
+    begins, stops = [m.start() for m in words], [m.end() for m in words]
     for kind, start, end in spans:
         value = text[start:end].lower()
         entity = _hash(f"{kind}:{value if kind in ('email', 'ip') else re.sub('[^0-9]', '', value)}")
         entities[entity] = kind
-        room = 40 * NEAR_WORDS
-        low = max(0, start - room)
-        before = [m for m in _TERM.finditer(text, low, start) if m.start() > low or low == 0][-NEAR_WORDS:]
-        high = min(len(text), end + room)
-        after = [m for m in _TERM.finditer(text, end, high) if m.end() < high or high == len(text)][:NEAR_WORDS]
-        near += [(entity, m[0].lower(), m.start(), m.end()) for m in (*before, *after) if outside(m)]
+        before, after = bisect_right(stops, start), bisect_left(begins, end)
+        close = (*words[max(0, before - NEAR_WORDS) : before], *words[after : after + NEAR_WORDS])
+        near += [(entity, m[0].lower(), m.start(), m.end()) for m in close if outside(m)]
     return list(entities.items()), list(dict.fromkeys(near))
 
 
@@ -138,20 +159,25 @@ def scan(docs: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n): in how many rows of docs each term of the table terms occurs."""
     wanted = [r[0] for r in terms.limit(BROADCAST_TERMS + 1).collect()]
-    text = F.coalesce("text", F.lit(""))
-    if len(wanted) > BROADCAST_TERMS:
-        found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{M}]{3,})"), 1))).alias("term"))
-        return found.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
-    own = frozenset(wanted)
+    many = len(wanted) > BROADCAST_TERMS
+    own = None if many else frozenset(wanted)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
+        table = lambda: pd.DataFrame(list(seen.items()), columns=["term", "n"]).astype({"n": "int64"})
         for b in batches:
             for t in b["text"]:
-                seen.update(own.intersection(_TERM.findall(t.lower())))
-        yield pd.DataFrame(list(seen.items()), columns=["term", "n"]).astype({"n": "int64"})
-
-    return docs.select(text.alias("text")).mapInPandas(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+                found = terms_of(t)
+                seen.update(found if own is None else own.intersection(found))
+                if len(seen) > BROADCAST_TERMS:
+                    yield table()
+                    seen.clear()
+        yield table()
+
+    counts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "term string, n long")
+    if many:
+        counts = counts.join(terms, "term", "left_semi")
+    return counts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:

@@ -100,3 +100,22 @@ def test_pairs_of_one_and_two_documents_disclose(spark):
     got = {r.doc_id: pii.replace(rows[r.doc_id][1], [t.asDict() for t in r.terms]) for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).selectExpr("cast(substring_index(doc, ':', 1) as long) as doc_id", "terms").collect()}
     assert "Vorpel" not in got[0] and "[EMAIL]" in got[0] and all("Jubjub" not in got[i] and "[EMAIL]" in got[i] for i in (1, 2))
     assert "common words" in got[0] and got[1].endswith("common words") and all(got[i] == rows[i][1] for i in range(3, 2000))
+
+
+MARKED = ("Zoe\u0308lika", "\u0915\u093f\u0924\u093e\u092c", "\u0e17\u0e35\u0e48\u0e19\u0e35\u0e48", "\U00011103\U00011127\U00011103\U00011128", "\u0391\u03a3.\u0392\u0393\u0394", "\u0130zmir", "Ⅷabc")
+
+
+def test_terms_hold_marks_and_no_numerals():
+    assert pii.terms_of(" ".join(MARKED)) == {*(m.lower() for m in MARKED[:4]), "\u03b2\u03b3\u03b4", "\u0130zmir".lower(), "abc"}
+    for word in MARKED[:4]:
+        text = f"{word} a@b.cc and more"
+        assert [(t, text[s:e]) for _, t, s, e in pii.contexts(text, pii.base_spans(text))[1]][0] == (word.lower(), word)
+
+
+def test_both_counting_paths_find_accented_and_indic_terms(spark, monkeypatch):
+    rows = [(i, f"{word} wrote entity{i}@example.com about common words") for i, word in enumerate(MARKED[:4])]
+    docs = spark.createDataFrame([*rows, *((i, "common words") for i in range(10, 1500))], "doc_id long, text string")
+    few = {r.doc: r.terms for r in pii.spans(docs).where("size(terms) > 0").collect()}
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", 1)
+    assert few == {r.doc: r.terms for r in pii.spans(docs).where("size(terms) > 0").collect()}
+    assert all(rows[int(d.split(":")[0])][1][t[0].start : t[0].stop] == MARKED[int(d.split(":")[0])] for d, t in few.items()) and len(few) == 4
