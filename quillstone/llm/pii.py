@@ -3,9 +3,9 @@
 The pattern matches are the protected entities. Over the whole corpus it is counted in how many documents an entity
 occurs, a term occurs, and both occur with the term near the entity. A term's disclosure of an entity is their pointwise
 mutual information over the entity's own information, 1 where the term gives the entity away wholly. Every entity and pair is
-estimated, with a prior of independence worth PRIOR_DOCS documents, so that small counts need a large corpus. In documents
-that hold the entity, terms near it that disclose at least GENERALISE of it are generalised to their class, and those that
-disclose at least REMOVE are removed.
+estimated, with a prior of independence worth PRIOR_DOCS documents, so that small counts need a large corpus. Terms that
+disclose at least GENERALISE of any entity are generalised to their class, and those that disclose at least REMOVE are
+removed: wherever they occur, in the whole text of every document.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ import sys
 import unicodedata
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -41,10 +41,16 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+TERMS = "array<struct<start:int,stop:int,removed:boolean>>"
 SCANNED = """uid_doc string, n_email long, n_ip long, n_card long, n_phone long, base string,
     entities array<struct<entity:long,kind:string>>, contexts array<struct<entity:long,term:string,start:int,stop:int>>"""
 
 
+def _key() -> Column:
+    """A row's id, ":" and its text's hash."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -116,9 +122,8 @@ def terms_of(text: str) -> set[str]:
     return {w.lower() for w in set(term_pattern(text).findall(text))}
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list, list]:
-    """Entities of a text and the terms near them that are outside all spans: [(entity, kind)], [(entity, term, start, end)]."""
-    entities, near = {}, []
+def outside_of(spans: list[tuple[str, int, int]]) -> Callable[[re.Match], bool]:
+    """Whether a match is outside all spans."""
     starts, ends = [], []  # of the spans' union
     for s, e in sorted((s, e) for _, s, e in spans):
         if ends and s <= ends[-1]:
@@ -126,7 +131,20 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list, list]:
         else:
             starts.append(s)
             ends.append(e)
-    outside = lambda m: (k := bisect_left(starts, m.end())) == 0 or ends[k - 1] <= m.start()
+    return lambda m: (k := bisect_left(starts, m.end())) == 0 or ends[k - 1] <= m.start()
+
+
+def occurrences(text: str, rules: dict[str, bool]) -> list[tuple[int, int, bool]]:
+    """(start, end, removed) of each term of rules in the text, outside the pattern spans; rules: term to whether it is removed."""
+    found = [(m, w) for m in term_pattern(text).finditer(text) if (w := m[0].lower()) in rules]
+    outside = outside_of(base_spans(text)) if found else None
+    return [(m.start(), m.end(), rules[w]) for m, w in found if outside(m)]
+
+
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> tuple[list, list]:
+    """Entities of a text and the terms near them that are outside all spans: [(entity, kind)], [(entity, term, start, end)]."""
+    entities, near = {}, []
+    outside = outside_of(spans)
     words = list(term_pattern(text).finditer(text)) if spans else []
     begins, stops = [m.start() for m in words], [m.end() for m in words]
     for kind, start, end in spans:
@@ -152,8 +170,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 rows.append((doc, *(n[k] for k in KINDS), ",".join(f"{k}:{s}:{e}" for k, s, e in spans), entities, near))
             yield pd.DataFrame(rows, columns=["uid_doc", *(f"n_{k}" for k in KINDS), "base", "entities", "contexts"])
 
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
-    return docs.select(key.alias("doc"), "text").mapInPandas(run, SCANNED).withColumn("uid", F.monotonically_increasing_id())
+    return docs.select(_key().alias("doc"), "text").mapInPandas(run, SCANNED).withColumn("uid", F.monotonically_increasing_id())
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -196,20 +213,46 @@ def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     return materialize(out.where(F.col("disclosure") >= GENERALISE), "disclosures")
 
 
+def term_rules(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, dict[str, bool] | None]:
+    """(term, removed) of the disclosing terms, also as a dictionary where they are at most BROADCAST_TERMS."""
+    rules = disclosures(docs, scanned).groupBy("term").agg((F.max("disclosure") >= REMOVE).alias("removed"))
+    some = rules.limit(BROADCAST_TERMS + 1).collect()
+    return rules, dict(map(tuple, some)) if len(some) <= BROADCAST_TERMS else None
+
+
+def term_spans(docs: DataFrame, rules: DataFrame, own: dict[str, bool] | None) -> DataFrame:
+    """(doc, terms) for each id and text of docs with disclosing terms, as in spans(); rules and own from term_rules()."""
+    texts = docs.where("text is not null").select(_key().alias("doc"), "text")
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = pd.DataFrame({"doc": b["doc"], "term": [list(terms_of(text)) for text in b["text"]]})
+            yield found.explode("term").dropna(subset="term")
+
+    if own is None:
+        said = texts.mapInPandas(words, "doc string, term string").join(rules, "term").groupBy("doc").agg(F.map_from_entries(F.collect_set(F.struct("term", "removed"))).alias("_rules"))
+        texts = texts.join(said, "doc")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            each = [own] * len(b) if own is not None else map(dict, b["_rules"])
+            rows = [(doc, found) for doc, text, r in zip(b["doc"], b["text"], each, strict=True) if (found := occurrences(text, r))]
+            yield pd.DataFrame(rows, columns=["doc", "terms"])
+
+    out = texts.mapInPandas(run, f"doc string, terms {TERMS}")
+    return materialize(out.groupBy("doc").agg(F.first("terms").alias("terms")), "terms")
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """For each row of docs: doc (its id, ":" and its text's hash), n_email, n_ip, n_card, n_phone, base and terms.
 
     base is the pattern spans as "kind:start:end", terms an array of (start, stop, removed) of disclosing terms, sorted,
-    disjoint from each other and from base. Texts without entities have no terms; an empty or null text has nothing.
+    disjoint from each other and from base. An empty or null text has nothing.
     """
     scanned = materialize(scan(docs), "scanned")
-    rules = disclosures(docs, scanned)
-    near = scanned.select("uid", F.explode("contexts").alias("c")).select("uid", "c.*").join(rules, ["entity", "term"])
-    near = near.groupBy("uid", "start", "stop").agg((F.max("disclosure") >= REMOVE).alias("removed"))
-    terms = near.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "removed"))).alias("terms"))
-    none = F.array().cast("array<struct<start:int,stop:int,removed:boolean>>")
-    out = scanned.drop("entities", "contexts").join(terms, "uid", "left")
-    return out.select(F.col("uid_doc").alias("doc"), *(f"n_{k}" for k in KINDS), "base", F.coalesce("terms", none).alias("terms"))
+    terms = term_spans(docs, *term_rules(docs, scanned)).withColumnRenamed("doc", "uid_doc")
+    out = scanned.drop("entities", "contexts").join(terms, "uid_doc", "left")
+    return out.select(F.col("uid_doc").alias("doc"), *(f"n_{k}" for k in KINDS), "base", F.coalesce("terms", F.array().cast(TERMS)).alias("terms"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -240,17 +283,25 @@ def replace(text: str, terms: list[dict]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with personal data replaced in text; other columns, rows and null texts stay, and n_chars, where there is one, is counted anew.
 
-    Rows that share id and text share their terms. The table of terms has rows only for documents with disclosing terms.
+    Up to BROADCAST_TERMS disclosing terms are sent to the executors; beyond it, a table of the documents that hold one is joined.
     """
 
+    scanned = materialize(scan(docs), "scanned")
+    rules, own = term_rules(docs, scanned)
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else replace(t, [dict(zip(("start", "stop", "removed"), x, strict=True)) for x in occurrences(t, own)]) for t in texts], dtype=object)
+
     @F.pandas_udf("string")
-    def cleaned(texts: pd.Series, terms: pd.Series) -> pd.Series:
+    def joined(texts: pd.Series, terms: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else replace(t, [] if x is None else list(x)) for t, x in zip(texts, terms, strict=True)], dtype=object)
 
-    found = spans(docs).where(F.size("terms") > 0).groupBy("doc").agg(F.first("terms").alias("_terms"))
-    found = materialize(found.withColumnRenamed("doc", "_doc"), "terms")
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
-    out = docs.join(found, key == F.col("_doc"), "left").withColumn("text", cleaned("text", "_terms"))
+    if own is not None:
+        out = docs.withColumn("text", cleaned("text"))
+    else:
+        found = term_spans(docs, rules, own).select(F.col("doc").alias("_doc"), F.col("terms").alias("_terms"))
+        out = docs.join(found, _key() == F.col("_doc"), "left").withColumn("text", joined("text", "_terms"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -119,3 +119,16 @@ def test_both_counting_paths_find_accented_and_indic_terms(spark, monkeypatch):
     monkeypatch.setattr(pii, "BROADCAST_TERMS", 1)
     assert few == {r.doc: r.terms for r in pii.spans(docs).where("size(terms) > 0").collect()}
     assert all(rows[int(d.split(":")[0])][1][t[0].start : t[0].stop] == MARKED[int(d.split(":")[0])] for d, t in few.items()) and len(few) == 4
+
+
+def test_terms_are_replaced_in_whole_texts_and_in_other_documents(spark, monkeypatch):
+    far = "Vorpel begins " + "common words " * 60 + "signed Vorpel once@example.com"
+    rows = [(0, far), (1, "common words of vorpel alone"), *((i, "common words signed begins") for i in range(2, 4000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    want = {0: far.replace("Vorpel", "[NAME]").replace("once@example.com", "[EMAIL]"), 1: "common words of [WORD] alone"}
+    assert got == dict(rows) | want
+    report = sorted(map(tuple, pii.report(docs).collect()))
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    assert got == {r.doc_id: r.text for r in pii.sanitise(docs).collect()} and report == sorted(map(tuple, pii.report(docs).collect()))
+    assert [r[-1] for r in report[:2]] == [2, 1]
