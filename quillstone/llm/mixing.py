@@ -83,13 +83,15 @@ def targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken, position) for each row of docs, and the columns in keep.
+    """(doc_id, source, size, source_size, target, copies, taken, position, positions) for each row of docs, and the columns in keep.
 
     weights maps (source, source_size) to (source, source_size, knots). In the source's shuffled order, fixed by seed and
     doc_id, every document is taken floor(target / source_size) times, and once more while the words so taken stay
     within the rest; the one that crosses the line is taken if more than half of it is inside. So a source misses its
-    target by at most half a document. position is the training time of the document's first word in the source's
-    order. Running sums are by slice: counts by slice first, then rows within one, so that a source with a third of all
+    target by at most half a document. position is the place of the document's first word in the source's order,
+    by the demand over the whole source. positions are the training times at which each copy is read (one for a document
+    that is not taken): the source's words are taken in passes, target of them in all, and the demand for them is
+    inverted where the copy starts. Running sums are by slice: counts by slice first, then rows within one, so that a source with a third of all
     rows is spread over many tasks. Empty tables give an empty result; null text has size 0; a null source is a source;
     rows that share an id are documents of their own.
     """
@@ -116,12 +118,15 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     once_more = (start + F.col("size") / 2 < rest).cast("long")
     copies = F.least(whole + once_more, F.lit(int(most))).cast("long")
     demand = F.coalesce(F.try_divide(start * F.col("weight"), F.col("source_size")), F.lit(0.0))
-    out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), invert(F.col("knots"), demand).alias("position"))
+    passes = F.sequence(F.lit(0), (F.greatest(copies, F.lit(1)) - 1).cast("int"))
+    due = lambda c: F.coalesce(F.try_divide((c * F.col("source_size") + start) * F.col("weight"), F.col("target")), F.lit(0.0))
+    positions = F.transform(passes, lambda c: invert(F.col("knots"), due(c)))
+    out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), invert(F.col("knots"), demand).alias("position"), positions.alias("positions"))
     return out.repartitionByRange("position").sortWithinPartitions("position", "doc_id")
 
 
 def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17) -> DataFrame:
-    """The rows of docs, each as often as the mixture takes it, range-sorted by position; columns are unchanged.
+    """The rows of docs, each as often as the mixture takes it, range-sorted by the copies' positions; columns are unchanged.
 
     Only ids, sizes and positions go through the mixture; texts are joined to the result. Rows that share id and text
     are taken as often as one of them. Documents without words belong to no source's demand and stay once.
@@ -130,8 +135,9 @@ def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed:
     keys = docs.select("doc_id", "source", "text", word_hash.alias("_text"))
     mixed = mix(keys, weights, most, seed, keep=["_text"])
     copies = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
-    mixed = mixed.groupBy("doc_id", "_text").agg(F.first(copies).alias("_copies"), F.min("position").alias("_position"))
-    mixed = materialize(mixed.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies", "_position"), "mixed")
+    mixed = mixed.groupBy("doc_id", "_text").agg(F.min_by(F.struct(copies.alias("n"), "positions"), "position").alias("m"))
+    mixed = mixed.where("m.n > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.slice("m.positions", F.lit(1), F.col("m.n").cast("int")).alias("_positions"))
+    mixed = materialize(mixed, "mixed")
     out = docs.withColumn("_text", word_hash).join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
-    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    out = out.withColumn("_position", F.explode("_positions"))
     return out.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)

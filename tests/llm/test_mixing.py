@@ -80,3 +80,23 @@ def test_resample_repeats_rows(docs, rows):
 
 def test_empty_table(none):
     assert mixing.mix(none).count() == 0 and mixing.resample(none).count() == 0
+
+
+def test_weights_are_met_along_the_whole_curriculum(spark):
+    # a's target is a third of its size, b's is twice its size, c's is capped at three times
+    sizes = {"a": 900, "b": 300, "c": 30}
+    rows = [(1000 * k + i, s, "w " * 10) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    flat = {"a": 1.0, "b": 2.0, "c": 9.0}
+    def weights(sources):
+        w = F.element_at(F.create_map(*(F.lit(x) for p in flat.items() for x in p)), F.col("source"))
+        return sources.withColumn("knots", F.array(F.struct(F.lit(0.0).alias("t"), (w * 0.5).alias("w")), F.struct(F.lit(1.0).alias("t"), (w * 1.5).alias("w"))))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = mixing.mix(docs, weights).collect()
+    for s in sizes:
+        at = sorted(p for r in mixed if r.source == s for p in r.positions[: r.copies])
+        assert len(at) * 10 == pytest.approx(next(r.target for r in mixed if r.source == s), abs=10)
+        for t in (0.25, 0.5, 0.75, 0.95):  # the schedule's area up to t is t / 2 + t^2 / 2
+            assert sum(p < t for p in at) / len(at) == pytest.approx(t / 2 + t * t / 2, abs=2 / len(at) + 0.01)
+    order = [r.source for r in mixing.resample(docs, weights).collect()]
+    tail = order[-len(order) // 5 :]
+    assert all(tail.count(s) / len(tail) == pytest.approx(order.count(s) / len(order), abs=0.03) for s in sizes)
