@@ -2,9 +2,8 @@
 
 A vector is compared in its home cell, that of the nearest centre. Vectors of other cells that may have a neighbour there
 are copied into it: those whose distance to the plane between the two centres is at most a margin. With
-margin = sin(acos(threshold)) no link can be lost. Near-duplicates differ in directions that have nothing to do with the
-centres, so the default margin is four standard deviations of such a difference along one axis, never more than the
-lossless one; tests measure recall against brute force.
+margin = sin(acos(threshold)), the default, no link can be lost, whatever the data. How many cells there are is chosen by
+the estimated work: where the margin copies vectors to most cells, few or one are less work. The result does not depend on it.
 """
 
 from __future__ import annotations
@@ -23,6 +22,8 @@ from .common import components, materialize
 MAX_SAMPLE = 20_000
 #: Vectors for one cell, on average over the whole table, until MAX_CELLS are in use.
 CELL_ROWS, MAX_CELLS = 2_000, 1_024
+#: So many pairs of a product cost as much as one row sent to it; sampled vectors on which copies are estimated.
+PAIRS_A_ROW, COST_SAMPLE = 700, 2_000
 #: Rows on each side of one product.
 BLOCK_ROWS = 1_024
 
@@ -51,12 +52,27 @@ def spread(x: np.ndarray, at: np.ndarray, margin: float) -> tuple[np.ndarray, np
     near = x @ at.T
     home = near.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * (at @ at.T), 1e-18))
-    away = near[np.arange(len(x)), home][:, None] - near <= margin * apart[home]
+    away = near[np.arange(len(x)), home][:, None] - near <= margin * apart[home] + 1e-9
     away[np.arange(len(x)), home] = True
     row, cell = np.nonzero(away)
     return row, cell, home[row] == cell
 
 
+def cells(sample: np.ndarray, most: int, group: float, margin: float) -> np.ndarray:
+    """Centres of most cells, or of half as many and so on, whichever means least work for groups of so many vectors; none for one cell."""
+    best, least = np.zeros((0, sample.shape[1])), 2 * np.ceil(group / BLOCK_ROWS) + group / PAIRS_A_ROW
+    k = most
+    while k > 1 and len(sample):
+        at = centres(sample, k)
+        copies = len(spread(sample[:COST_SAMPLE], at, margin)[0]) / len(sample[:COST_SAMPLE])
+        home = group / k
+        work = np.ceil(home * copies / BLOCK_ROWS) + copies * np.ceil(home / BLOCK_ROWS) + home * copies / PAIRS_A_ROW
+        if work < least:
+            best, least = at, work
+        k //= 2
+    return best
+
+
 def local_groups(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The least id of each row's and column's component in a block, by propagation along linked (rows x columns)."""
     most = np.iinfo(np.int64).max
@@ -108,11 +124,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, margin: float |
 
 def _compare(classes: DataFrame, n: int, width: int, threshold: float, margin: float | None) -> tuple[DataFrame, DataFrame]:
     """Edges (a, b) that span the groups, and (id, near): how many rows of other classes each class links with."""
-    lossless = math.sqrt(max(0.0, 1 - threshold * threshold))
-    used = lossless if margin is None and width < 32 else min(lossless, 4 * math.sqrt(max(0.0, 2 - 2 * threshold) / width) if margin is None else margin)
+    lossless = math.sqrt(1 - threshold * threshold) if 0 < threshold < 1 else float(threshold <= 0)
+    used = lossless if margin is None else min(lossless, margin)
     k = max(1, min(MAX_CELLS, round(n / CELL_ROWS)))
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("embedding").toPandas() if k > 1 else None
-    at = centres(unit(sample["embedding"].tolist()), k) if k > 1 else np.zeros((0, width))
+    at = np.zeros((0, width))
+    if k > 1:
+        sample = classes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("embedding").toPandas()
+        # the group that a vector is in, by label, on average
+        group = classes.groupBy("label").count().agg(F.sum(F.pow("count", 2.0)) / F.sum("count")).first()[0]
+        at = cells(unit(sample["embedding"].tolist()), k, group, used)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -77,3 +77,25 @@ def test_empty_table(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, None, None, 1, "x", 1)], SCHEMA)
     assert [tuple(r) for r in embed_dedup.near_duplicates(none).collect()] == [(1, 0, 1, True)]
+
+
+def low_dimensional(n=400, dim=768, inner=4):
+    rng = np.random.default_rng(3)
+    return rng.normal(size=(n, inner)) @ np.linalg.qr(rng.normal(size=(dim, inner)))[0].T
+
+
+def test_no_link_is_lost_in_a_subspace(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 25)
+    monkeypatch.setattr(embed_dedup, "cells", lambda sample, most, group, margin: embed_dedup.centres(sample, most))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(low_dimensional())]
+    want = brute(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert sum(w[0] for w in want.values()) > 100 and got == want
+
+
+def test_cells_are_used_where_they_save_work():
+    rng = np.random.default_rng(4)
+    blobs = np.repeat(np.eye(64)[:40], 100, 0) + rng.normal(size=(4000, 64)) * 0.01
+    blobs = blobs[rng.permutation(4000)]
+    assert len(embed_dedup.cells(embed_dedup.unit(list(blobs)), 32, 64_000, 0.37)) > 1
+    assert len(embed_dedup.cells(embed_dedup.unit(list(rng.normal(size=(4000, 64)))), 26, 5_500, 0.37)) < 26
