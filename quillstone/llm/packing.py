@@ -1,10 +1,12 @@
-"""Best-fit packing of tokenized documents into sequences of fixed length, in bulk-synchronous sweeps.
+"""Best-fit packing of tokenized documents into sequences of fixed length, in rounds over their histogram of lengths.
 
 Pieces and gaps are sorted by length and matched in rounds: all pieces of one length, longest first, go to their
 successor, the smallest gap that holds them; where several pieces want one gap, rank decides; the gaps shrink and the
 next round begins. Lengths are integers up to the sequence's, so a sweep over equal pieces is one step on counts: the
 plan works on the histogram (at most max_tokens rows, whatever the corpus) and yields, for each length, runs of ranks
-that go to runs of sequences. Spark tokenizes, range-sorts pieces by length and ranks them, and looks up each rank's run.
+that go to runs of sequences. The rounds
+run on the driver. Spark tokenizes, ranks the pieces of each length in hash slices, and looks up each rank's run; nothing
+is range-sorted.
 """
 
 from __future__ import annotations
