@@ -1,18 +1,20 @@
-"""Best-fit packing of tokenized documents into sequences of fixed length, in rounds over their histogram of lengths.
-
-Pieces and gaps are sorted by length and matched in rounds: all pieces of one length, longest first, go to their
-successor, the smallest gap that holds them; where several pieces want one gap, rank decides; the gaps shrink and the
-next round begins. Lengths are integers up to the sequence's, so a sweep over equal pieces is one step on counts: the
-plan works on the histogram (at most max_tokens rows, whatever the corpus) and yields, for each length, runs of ranks
-that go to runs of sequences. The rounds
-run on the driver. Spark tokenizes, ranks the pieces of each length in hash slices, and looks up each rank's run; nothing
-is range-sorted.
+"""Best-fit packing of tokenized documents into sequences of fixed length, by bulk-synchronous rounds.
+
+A round range-sorts the unplaced pieces and the open gaps together, longest first, gaps before pieces of their size. In
+this order a piece takes the gap before it that is nobody else's and came last: its best fit, the smallest that holds
+it; where several want one gap, the rank in the order decides. That is the matching of brackets, gaps opening and pieces
+closing, and is found by sweeps: the nesting depth is a running sum with a running minimum, within each sorted range and
+then over the ranges' ends, and on one level of depth each piece follows the gap it takes. Then the gaps shrink, and what
+found no gap goes to the next round; where no gap holds the longest piece left, new sequences are opened.
+
+A gap at least twice as long as the longest piece left takes part several times, so that the longest piece shrinks by a
+factor from round to round, and the number of rounds grows with the logarithm of the sequence length. Tables between
+rounds are written. The driver learns a few sums for each round, nothing of single pieces or gaps.
 """
 
 from __future__ import annotations
 
 import base64
-import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Pieces of one length are ranked in slices of about this many rows.
-SLICE_ROWS = 2_000
+#: Rows of a sorted range; up to so many ranges their ends are broadcast.
+SWEEP_ROWS, BROADCAST_PARTS = 50_000, 10_000
 BATCH_CHARS = 1 << 22
 
 
@@ -88,100 +90,125 @@ def pieces(docs: DataFrame, tokenizer: str, most: int = 1024, end_id: int = 2) -
     return docs.select(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("doc"), "text").mapInPandas(run, PIECES)
 
 
-def plan(counts: dict[int, int], most: int) -> list[tuple[int, int, int, int, int]]:
-    """Best-fit rounds over the histogram counts (length -> pieces).
+def sweep(left: DataFrame, gaps: DataFrame, longest: int, n_left: int, n_gaps: int) -> DataFrame:
+    """One sorted sweep, as a written table of pieces and gaps with depth, the nesting before each; a piece at depth 0 finds no gap.
 
-    Rows (length, first rank, ranks, first sequence, offset): the pieces of that length with ranks first..first+ranks-1 go
-    one each to as many sequences from the first one on, at offset. Longest pieces first; each step gives a gap class,
-    the smallest that holds the length, as many pieces as it has gaps. The number of rows depends on the number of
-    lengths, not of pieces.
+    left: uid, len. gaps: seq, free. Ranges split sizes that many rows share, as the sort goes on by id.
     """
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    order: list[int] = []
-    opened, rows = 0, []
-
-    def give(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if gap not in gaps:
-                bisect.insort(order, gap)
-                gaps[gap] = []
-            gaps[gap].append((first, n))
-
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            at = bisect.bisect_left(order, length)
-            if at < len(order):
-                gap = order[at]
-                first, n = gaps[gap].pop()
-                if not gaps[gap]:
-                    del gaps[gap]
-                    del order[at]
-            else:
-                # nothing holds it: open as many sequences as this length will fill, most // length pieces to each
-                gap, first, n = most, opened, -(-left // (most // length))
-                opened += n
-            now = min(left, n)
-            rows.append((length, rank, now, first, most - gap))
-            give(gap - length, first, now)
-            give(gap, first + now, n - now)
-            left, rank = left - now, rank + now
-    return rows
+    # no more slots than about twice the pieces, over all gaps
+    most_slots = max(1, -(-2 * n_left // max(1, n_gaps)))
+    slots = F.greatest(F.lit(1), F.least(F.floor(F.col("free") / longest), F.lit(most_slots))).cast("int")
+    offered = gaps.withColumn("slots", slots).select(F.lit(0).alias("kind"), F.col("seq").alias("id"), F.explode(F.sequence(F.lit(1), "slots")).alias("slot"), F.floor(F.col("free") / F.col("slots")).cast("long").alias("size"), "free")
+    asked = left.select(F.lit(1).alias("kind"), F.col("uid").alias("id"), F.lit(0).alias("slot"), F.col("len").alias("size"), F.lit(0).cast("long").alias("free"))
+    order = (F.desc("size"), F.col("kind"), F.col("id"), F.col("slot"))
+    parts = -(-(n_left + n_gaps) // SWEEP_ROWS)
+    ranged = offered.unionByName(asked).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+    def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, total, low = 0, 0, 0
+        for b in batches:
+            if b.empty:
+                continue
+            run = total + np.cumsum(np.where(b["kind"] == 0, 1, -1))
+            lows = np.minimum.accumulate(np.r_[low, run])
+            yield b.assign(place=np.arange(rows, rows + len(b)), run=run, low=lows[:-1])
+            rows, total, low = rows + len(b), int(run[-1]), int(lows[-1])
+
+    schema = "kind int, id long, slot int, size long, free long, part int, place long, run long, low long"
+    ran = materialize(ranged.mapInPandas(accumulate, schema), "sweep")
+    # one row for each range: the sum before it and the least sum so far
+    ends = ran.groupBy("part").agg(F.max_by("run", "place").alias("total"), F.least(F.min("run"), F.lit(0)).alias("least"))
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    ends = ends.select("part", "base", F.least(F.coalesce(F.min(F.col("base") + F.col("least")).over(before), F.lit(0)), F.lit(0)).alias("floor"))
+    step = F.when(F.col("kind") == 0, 1).otherwise(-1)
+    depth = F.col("base") + F.col("run") - step - F.least("floor", F.col("base") + F.col("low"))
+    return ran.join(F.broadcast(ends) if parts <= BROADCAST_PARTS else ends, "part").withColumn("depth", depth)
+
+
+def matches(swept: DataFrame, most: int) -> DataFrame:
+    """uid, len, seq and offset of the pieces of a sweep that take a gap.
+
+    On one level there are at most a gap and a piece of each size, so no level is large; nor is the group of a sequence.
+    """
+    level = F.when(F.col("kind") == 0, F.col("depth") + 1).otherwise(F.col("depth"))
+    nested = swept.withColumn("level", level).where("level > 0")
+    on_level = Window.partitionBy("level").orderBy("part", "place")
+    taken = nested.withColumn("gap", F.lag(F.struct(F.col("id").alias("seq"), "free")).over(on_level)).where("kind = 1")
+    taken = taken.select(F.col("id").alias("uid"), F.col("size").alias("len"), "gap.seq", "gap.free")
+    inside = Window.partitionBy("seq").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
+    return taken.withColumn("offset", F.lit(most) - F.col("free") + F.coalesce(F.sum("len").over(inside), F.lit(0))).drop("free")
 
 
 def assign(pieces: DataFrame, most: int = 1024) -> DataFrame:
-    """pieces with sequence_id and offset.
+    """pieces with sequence_id and offset, columns that replace such of pieces.
 
-    pieces needs doc_id, piece and length (1..most); every other column stays. Ranks run over (doc_id, piece) within a
-    length, by slices of the row's hash: counts by (length, slice) first, rows within a slice after, so that one very
-    common length is spread over many tasks. Repeated rows are pieces of their own. An empty table gives an empty one.
+    pieces needs length (1..most); every other column stays. Repeated rows and rows without an id are pieces of their
+    own. An empty table gives an empty one.
     """
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `most` rows
-    if any(not 1 <= n <= most for n in histogram):
-        raise ValueError("a piece's length is outside 1..most")
-    runs: dict[int, list] = {}
-    for length, rank, n, first, offset in plan(histogram, most):
-        runs.setdefault(length, []).append((rank, n, first, offset))
-    slices = {n: -(-c // SLICE_ROWS) for n, c in histogram.items()}
     spark = pieces.sparkSession
-    table = [(n, slices[n], r) for n, r in runs.items()]
-    schema = "len long, slices long, runs array<struct<rank:long,n:long,first:long,offset:long>>"
-    book = F.broadcast(spark.createDataFrame(table, schema))  # most rows; runs are bounded by lengths, see plan()
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.col("slices")).cast("int")
-    known = pieces.join(book, F.col("length") == F.col("len")).withColumn("_slice", key)
-    per = known.groupBy("length", "_slice").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("length", "_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("length", "_slice").orderBy("doc_id", "piece")
-    ranked = known.withColumn("_row", F.row_number().over(inside) - 1).join(per, ["length", "_slice"])
-    ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_row"))
-    run = F.filter("runs", lambda r: (r.rank <= F.col("_rank")) & (F.col("_rank") < r.rank + r.n))[0]
-    ranked = ranked.withColumn("_run", run)
-    sequence = F.col("_run.first") + F.col("_rank") - F.col("_run.rank")
-    return ranked.select(*pieces.columns, sequence.alias("sequence_id"), F.col("_run.offset").alias("offset"))
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    rows = materialize(pieces.select(*kept).withColumn("_uid", F.monotonically_increasing_id()), "pieces")
+    lengths = rows.agg(F.min("length").alias("least"), F.max("length").alias("longest")).first()
+    if lengths["least"] is not None and not 1 <= lengths["least"] <= lengths["longest"] <= most:
+        raise ValueError("a piece's length is outside 1..most")
+    left = rows.where(F.col("length") < most).select(F.col("_uid").alias("uid"), F.col("length").cast("long").alias("len"))
+    gaps = spark.createDataFrame([], "seq long, free long")
+    placed, opened, n_gaps, widest = [], 0, 0, 0
+    while True:
+        big = F.col("len") > widest
+        sums = left.agg(
+            F.count("*").alias("n"), F.min("len").alias("least"), F.max("len").alias("longest"), F.coalesce(F.sum(F.when(big, F.col("len"))), F.lit(0)).alias("big"),
+            F.count_if(big & (F.col("len") > most // 2)).alias("halves"),
+        ).first()
+        if not sums["n"]:
+            break
+        if new := max(-(-sums["big"] // most), sums["halves"]):
+            gaps = gaps.unionByName(spark.range(opened, opened + new).select(F.col("id").alias("seq"), F.lit(most).cast("long").alias("free")))
+            opened, n_gaps = opened + new, n_gaps + new
+        gaps = gaps.where(F.col("free") >= sums["least"])
+        swept = sweep(left, gaps, sums["longest"], sums["n"], n_gaps)
+        found = materialize(matches(swept, most), "placed")
+        placed.append(found)
+        used = found.groupBy("seq").agg(F.sum("len").alias("used"))
+        gaps = materialize(gaps.join(used, "seq", "left").select("seq", (F.col("free") - F.coalesce("used", F.lit(0))).alias("free")).where("free > 0"), "gaps")
+        state = gaps.agg(F.count("*").alias("n"), F.coalesce(F.max("free"), F.lit(0)).alias("widest")).first()
+        n_gaps, widest = state["n"], state["widest"]
+        left = swept.where("kind = 1 and depth = 0").select(F.col("id").alias("uid"), F.col("size").alias("len"))
+    every = rows.where(F.col("length") == most).select(F.col("_uid").alias("uid"), (-1 - F.col("_uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    for found in placed:
+        every = every.unionByName(found.select("uid", F.col("seq").alias("sequence_id"), "offset"))
+    return rows.join(every, F.col("_uid") == F.col("uid")).select(*kept, "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, tokenizer: str, most: int = 1024, end_id: int = 2) -> DataFrame:
-    """Every piece of docs with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return assign(materialize(pieces(docs, tokenizer, most, end_id), "pieces"), most)
+    """Every piece of docs with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null text is empty and has the end id alone; rows that share an id, or have none, are documents of their own. Long
+    texts are cut into pieces. Other columns of docs are not read; an empty table gives an empty one.
+    """
+    return assign(pieces(docs, tokenizer, most, end_id), most)
 
 
 def sequences(packed: DataFrame, docs: DataFrame, tokenizer: str, most: int = 1024, end_id: int = 2) -> DataFrame:
     """The token ids of each sequence: (sequence_id, ids array<int>). A sequence holds at most `most` ids, so groups are bounded.
 
-    docs must be the documents that were packed, with distinct doc_ids.
+    docs must be the documents that were packed. A piece is found by its id, place, length and checksum, so that documents
+    may be repeated, share an id, or have none: what these columns do not tell apart has the same ids.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer)
         for b in batches:
             rows = []
-            for doc, text in zip(b["doc_id"], b["text"], strict=True):
-                ids = np.append(encode(text or ""), np.uint32(end_id)).astype(np.int32)
-                rows += [(doc, k, ids[at : at + n]) for k, (at, n) in enumerate(cut(len(ids), most))]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "ids"])
+            for doc, text in zip(b["doc"], b["text"], strict=True):
+                ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
+                for k, (at, n) in enumerate(cut(len(ids), most)):
+                    rows.append((f"{doc}:{k}:{n}:{zlib.crc32(ids[at : at + n].tobytes())}", ids[at : at + n].astype(np.int32)))
+            yield pd.DataFrame(rows, columns=["key", "ids"])
 
-    ids = docs.where("doc_id is not null").select("doc_id", "text").mapInPandas(run, "doc_id long, piece int, ids array<int>")
-    placed = packed.select("doc_id", "piece", "sequence_id", "offset").join(ids, ["doc_id", "piece"])
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    ids = docs.select(doc.alias("doc"), "text").mapInPandas(run, "key string, ids array<int>").groupBy("key").agg(F.first("ids").alias("ids"))
+    placed = packed.select(F.concat_ws(":", doc, "piece", "length", "ids_crc32").alias("key"), "sequence_id", "offset").join(ids, "key")
     parts = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return parts.select("sequence_id", F.flatten(F.transform("parts", lambda p: p.ids)).alias("ids"))
