@@ -15,19 +15,21 @@ from .common import materialize
 #: The band: terms in at least LEAST_SHARE and at most MOST_SHARE of the documents. A document has D distinct terms on
 #: average, so at most D / LEAST_SHARE terms reach the lower end, however many documents there are.
 LEAST_SHARE, MOST_SHARE = 1 / 500, 1 / 10
-#: The lexicon is broadcast up to this many terms and joined by a shuffle beyond.
-BROADCAST_TERMS = 500_000
+#: Up to so many terms the lexicon is a set within the expression, which every task holds; beyond it a table that is joined.
+SET_TERMS = 50_000
 #: Subsets of the lexicon: SAME_RATE subsets for each rate, a subset of rate 2**-bits holding that share of the lexicon.
 #: Dense subsets tell short texts apart, sparse ones leave long texts something in common after an edit.
 RATES, SAME_RATE = (4, 6, 8, 10), 16
 SUBSETS = len(RATES) * SAME_RATE
+#: A subset's hash in a fingerprint, in hexadecimal digits; that of a subset without terms is NONE.
+DIGITS = 8
+NONE = "0" * DIGITS
 #: Documents are dealt into ranges of about this many ids to find each one's successor.
 RANGE_ROWS = 50_000
-NULL_ID = -(1 << 63)
 
 
 def terms(text: Column) -> Column:
-    """Distinct lower-cased terms: runs of letters and digits."""
+    """Distinct lower-cased terms: runs of letters and digits; an empty one may be among them."""
     return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
@@ -39,59 +41,86 @@ def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHAR
     return materialize(df.where((F.col("df") >= F.lit(least * n)) & (F.col("df") <= F.lit(max(most * n, 1.0)))), "lexicon")
 
 
-def subset_hashes(hashes: Column, text: Column) -> Column:
-    """SUBSETS ints for a sorted array of term hashes; 0 for a subset without terms.
+def number(term: Column) -> Column:
+    """60 bits of a term that draw its subsets: RATES bits for each rate, from the lowest on."""
+    return F.conv(F.substring(F.md5(term), 1, 15), 16, 10).cast("long")
 
-    A text without any term of the lexicon has the hash of its whole text everywhere, so that it equals its copies only.
+
+def subset_hashes(own: Column, digest: Column) -> Column:
+    """SUBSETS hashes for a sorted array of terms.
+
+    A text without any term of the lexicon has hashes of its digest, so that it equals its copies only.
     """
-    low = lambda h: F.greatest(h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(1))
+    short = lambda s: F.substring(F.md5(s), 1, DIGITS)
+    drawn = F.transform(own, lambda t: F.struct(t.alias("t"), number(t).alias("n")))
 
     def of_rate(bits: int, shift: int) -> Column:
-        number = lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1))
+        k_of = lambda x: F.shiftrightunsigned(x.n, shift).bitwiseAND(F.lit((1 << bits) - 1))
         every = F.sequence(F.lit(0), F.lit(SAME_RATE - 1))
         # the array of an array binds the rate's terms, and then each subset, to a variable: each is computed once
-        mine = F.array(F.filter(hashes, lambda h: number(h) < SAME_RATE))
-        subsets = F.flatten(F.transform(mine, lambda own: F.transform(every, lambda k: F.filter(own, lambda h: number(h) == k))))
-        return F.transform(subsets, lambda s: F.when(F.size(s) == 0, F.lit(0)).otherwise(low(F.xxhash64(s))))
+        mine = lambda all_terms: F.array(F.filter(all_terms, lambda x: k_of(x) < SAME_RATE))
+        subsets = lambda all_terms: F.flatten(F.transform(mine(all_terms), lambda ts: F.transform(every, lambda k: F.filter(ts, lambda x: k_of(x) == k))))
+        return lambda all_terms: F.transform(subsets(all_terms), lambda s: F.when(F.size(s) == 0, F.lit(NONE)).otherwise(short(F.array_join(F.transform(s, lambda x: x.t), " "))))
 
     shifts = [sum(RATES[:i]) for i in range(len(RATES))]
-    empty = F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: low(F.xxhash64(k, text)))
-    return F.when(F.size(hashes) == 0, empty).otherwise(F.concat(*map(of_rate, RATES, shifts)))
+    rates = [of_rate(*x) for x in zip(RATES, shifts, strict=True)]
+    full = F.transform(F.array(drawn), lambda ts: F.concat(*(r(ts) for r in rates)))[0]
+    empty = F.transform(F.array(digest), lambda h: F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: short(F.concat_ws(":", k, h))))[0]
+    return F.when(F.size(own) == 0, empty).otherwise(full)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """The share of equal hashes among the subsets in which one of two fingerprints has terms; 1 for equal fingerprints."""
-    either = F.zip_with(a, b, lambda x, y: ((x > 0) | (y > 0)).cast("int"))
-    equal = F.zip_with(a, b, lambda x, y: ((x == y) & (x > 0)).cast("int"))
-    total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
-    return F.when(a == b, 1.0).otherwise(F.coalesce(F.try_divide(total(equal).cast("double"), total(either).cast("double")), F.lit(0.0)))
+def as_text(hashes: Column) -> Column:
+    return F.array_join(hashes, "")
 
 
-def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+def parts(fingerprint: Column) -> Column:
+    """The hashes of a fingerprint's text."""
+    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.substring(fingerprint, k * DIGITS + 1, F.lit(DIGITS)))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """docs as (k, text): the id, nulls as the least one, and the text, nulls as empty."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+def likeness(a: Column, b: Column) -> Column:
+    """The share of equal hashes among the subsets in which one of two arrays of hashes has terms; 1 for equal ones."""
+    either = F.zip_with(a, b, lambda x, y: ((x != NONE) | (y != NONE)).cast("int"))
+    equal = F.zip_with(a, b, lambda x, y: ((x == y) & (x != NONE)).cast("int"))
+    total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
+    return F.when(a == b, 1.0).otherwise(F.coalesce(F.try_divide(total(equal).cast("double"), total(either).cast("double")), F.lit(0.0)))
 
 
-def successors(rows: DataFrame) -> DataFrame:
-    """(k, next_k) for the distinct k of rows in descending order, the last one followed by the first.
+def successors(ids: DataFrame) -> DataFrame:
+    """(k, next) for the distinct k of ids in descending order, null last, the last one followed by the first; next: struct<k>.
 
     Ranges of ids are numbered by a range partitioning that is written down; a range's last id is followed by the first
     one of the next range, found among one row for each range.
     """
-    ids = materialize(rows.select("k").distinct(), "ids")
-    parts = max(1, -(-ids.count() // RANGE_ROWS))
-    ranged = materialize(ids.repartitionByRange(parts, F.desc("k")).select("k", F.spark_partition_id().alias("part")), "ranged")
-    inside = Window.partitionBy("part").orderBy(F.desc("k"))
-    led = ranged.withColumn("next_k", F.lead("k").over(inside))
-    heads = ranged.groupBy("part").agg(F.max("k").alias("head"))
+    own = materialize(ids.select("k").distinct(), "ids")
+    n = max(1, -(-own.count() // RANGE_ROWS))
+    ranged = materialize(own.repartitionByRange(n, F.desc_nulls_last("k")).select("k", F.spark_partition_id().alias("part")), "ranged")
+    inside = Window.partitionBy("part").orderBy(F.desc_nulls_last("k"))
+    led = ranged.withColumn("next", F.lead(F.struct("k")).over(inside))
+    heads = ranged.groupBy("part").agg(F.struct(F.max("k").alias("k")).alias("head"))  # null only where a range has no id
     order = Window.partitionBy(F.lit(0)).orderBy("part")
     first = F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("part", F.coalesce(F.lead("head").over(order), first).alias("next_head"))
-    return led.join(F.broadcast(heads) if parts <= 10_000 else heads, "part").select("k", F.coalesce("next_k", "next_head").alias("next_k"))
+    return led.join(F.broadcast(heads) if n <= 10_000 else heads, "part").select("k", F.coalesce("next", "next_head").alias("next"))
+
+
+def in_lexicon(rows: DataFrame, words: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """rows, the arrays of terms in the columns names reduced to the terms of words (term), sorted."""
+    some = [r[0] for r in words.select("term").limit(SET_TERMS + 1).collect()]
+    if not some:
+        return rows.withColumns({c: F.array().cast("array<string>") for c in names})
+    if len(some) <= SET_TERMS:
+        wanted = ", ".join(f"'{t}'" for t in some)  # letters and digits only
+        both = F.expr(f"transform(array({', '.join(names)}), ts -> array_sort(filter(ts, t -> t in ({wanted}))))")
+        rows = rows.withColumn("_both", both)
+        return rows.withColumns({c: F.col("_both")[i] for i, c in enumerate(names)}).drop("_both")
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "terms")
+    marked = lambda c, i: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(i).alias("which")))
+    every = F.concat(*(marked(c, i) for i, c in enumerate(names)))
+    found = rows.select("_row", F.inline_outer(every)).join(words.select("term"), "term")
+    sets = found.groupBy("_row").agg(*(F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("term")))).alias(f"_s{i}") for i in range(len(names))))
+    rows = rows.join(sets, "_row", "left")
+    return rows.withColumns({c: F.coalesce(f"_s{i}", F.array().cast("array<string>")) for i, c in enumerate(names)}).drop("_row", *(f"_s{i}" for i in range(len(names))))
 
 
 def compare_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
@@ -99,36 +128,31 @@ def compare_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOS
 
     The edited text has its last floor(n_chars / 3) code points replaced by as many first ones of the next document in
     descending order of doc_id (the last is followed by the first, nulls come last and count as one id). Of rows that
-    share an id with different texts, the least text lends its beginning and its fingerprint to the one before. Null
-    text is empty. Other columns are not read; an empty table gives an empty one.
+    share an id with different texts, the one with the least hash lends its beginning and its fingerprint to the one
+    before. Repeated rows are rows of their own. Null text is empty, long texts are taken whole. Other columns are not
+    read; an empty table gives an empty one.
     """
-    words = lexicon(docs.select(F.coalesce("text", F.lit("")).alias("text")), least, most)
-    words = words.select("term")
-    words = F.broadcast(words) if words.count() <= BROADCAST_TERMS else words
-    texts = keyed(docs)
-    rows = materialize(texts.select("k", F.xxhash64("text").alias("h"), F.char_length("text").cast("long").alias("n_chars")), "rows")
+    texts = docs.select(F.col("doc_id").cast("long").alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    words = lexicon(texts.select("text"), least, most)
+    rows = materialize(texts.groupBy("k").agg(F.floor(F.max(F.char_length("text")) / 3).cast("int").alias("take")), "ids")
     follow = materialize(successors(rows), "follow")
-    # how much of a document its predecessors need at most
-    third = rows.groupBy("k").agg(F.floor(F.max("n_chars") / 3).cast("int").alias("take"))
-    before = follow.join(third, "k").select(F.col("next_k").alias("k"), F.col("k").alias("to_k"), "take")
-    lent = texts.join(before, "k").select("to_k", F.expr("substring(text, 1, take)").alias("lent")).groupBy("to_k").agg(F.min("lent").alias("lent"))
-    joined = texts.join(lent, F.col("k") == F.col("to_k"))
+    # how much of a document its predecessor needs at most
+    before = follow.alias("f").join(rows.alias("r"), F.expr("f.k <=> r.k")).select(F.col("f.next.k").alias("lender"), F.col("f.k").alias("to_k"), "take")
+    beginning = texts.select(F.col("k").alias("lk"), "text").join(before, F.col("lk").eqNullSafe(F.col("lender")))
+    lent = beginning.select("to_k", F.xxhash64("text").alias("h"), F.expr("substring(text, 1, take)").alias("start"))
+    lent = lent.groupBy("to_k").agg(F.min(F.struct("h", "start")).alias("l")).select("to_k", F.col("l.start").alias("lent"))
     n = F.char_length("text")
-    cut = F.floor(n / 3).cast("int")
-    edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))"), F.substring("lent", F.lit(1), cut))
-    both = joined.select("k", "text", edited.alias("edited"))
-    own = both.select("k", F.xxhash64("text").alias("h"), F.sha2("edited", 256).alias("sha"), F.xxhash64("edited").alias("eh"), "text", "edited")
-    marked = lambda text, which: F.transform(terms(text), lambda t: F.struct(t.alias("term"), F.lit(which).alias("which")))
-    own = own.withColumn("parts", F.concat(marked(F.col("text"), 0), marked(F.col("edited"), 1)))
-    own = own.withColumn("parts", F.concat("parts", F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("which")))))
-    found = own.select("k", "h", "sha", "eh", F.inline_outer("parts")).join(words.withColumn("ok", F.lit(True)), "term", "left").where("ok or which = 2")
-    pick = lambda i: F.array_sort(F.collect_set(F.when((F.col("which") == i) & F.col("ok"), F.xxhash64("term"))))
-    grouped = found.groupBy("k", "h", "sha", "eh").agg(pick(0).alias("a"), pick(1).alias("b"))
-    prints = grouped.select("k", "h", "sha", subset_hashes(F.col("a"), F.col("h")).alias("f"), subset_hashes(F.col("b"), F.col("eh")).alias("e"))
+    edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))"), F.substring("lent", F.lit(1), F.floor(n / 3).cast("int")))
+    both = texts.join(lent, F.col("k").eqNullSafe(F.col("to_k"))).select("k", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    own = both.select("k", "n_chars", F.xxhash64("text").alias("h"), F.sha2("edited", 256).alias("sha"), F.md5("text").alias("t"), F.md5("edited").alias("e"), terms(F.col("text")).alias("a"), terms(F.col("edited")).alias("b"))
+    own = in_lexicon(own, words, ("a", "b"))
+    hashed = own.select("k", "n_chars", "h", "sha", subset_hashes(F.col("a"), F.col("t")).alias("f"), subset_hashes(F.col("b"), F.col("e")).alias("g"))
+    prints = hashed.select("k", "n_chars", "h", "sha", as_text(F.col("f")).alias("f"), as_text(F.col("g")).alias("g"), likeness(F.col("f"), F.col("g")).alias("near_edited"))
     prints = materialize(prints, "prints")
-    heads = prints.groupBy("k").agg(F.min_by("f", "h").alias("next_f")).select(F.col("k").alias("next_k"), "next_f")
-    out = rows.join(prints, ["k", "h"]).join(follow, "k").join(heads, "next_k")
+    heads = prints.groupBy("k").agg(F.min(F.struct("h", "f")).alias("l")).select(F.col("k").alias("hk"), F.col("l.f").alias("next_f"))
+    nexts = follow.join(heads, F.expr("next.k <=> hk")).select(F.col("k").alias("to_k"), "next_f")
+    out = prints.join(nexts, F.col("k").eqNullSafe(F.col("to_k")))
     return out.select(
-        F.nullif("k", F.lit(NULL_ID)).alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), as_text(F.col("f")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
-        likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"),
+        F.col("k").alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), F.col("f").alias("fingerprint"), F.col("g").alias("edited_fingerprint"),
+        "near_edited", likeness(parts(F.col("f")), parts(F.col("next_f"))).alias("near_next"),
     )

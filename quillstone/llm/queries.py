@@ -143,6 +143,32 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def imatch_sql() -> str:
+    """I-Match in SQL, with the operator's parameters as literals."""
+    rates = ", ".join(f"({i}, {bits}, {sum(imatch.RATES[:i])})" for i, bits in enumerate(imatch.RATES))
+    words = lambda c: rf"list_distinct(list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''))"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+x AS (SELECT doc_id, text, n, coalesce(lead(text) OVER w, first_value(text) OVER w) AS after, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT *, substr(text, 1, n - n // 3) || substr(after, 1, n // 3) AS edited FROM x),
+b AS (SELECT doc_id, 0 AS which, md5(text) AS digest, {words('text')} AS terms FROM e UNION ALL SELECT doc_id, 1, md5(edited), {words('edited')} FROM e),
+lex AS (SELECT term FROM (SELECT unnest(terms) AS term FROM b WHERE which = 0) GROUP BY term
+  HAVING count(*) >= {imatch.LEAST_SHARE!r}::DOUBLE * (SELECT count(*) FROM d) AND count(*) <= greatest({imatch.MOST_SHARE!r}::DOUBLE * (SELECT count(*) FROM d), 1.0)),
+m AS (SELECT doc_id, which, term, CAST('0x' || substr(md5(term), 1, 15) AS BIGINT) AS num FROM (SELECT doc_id, which, unnest(terms) AS term FROM b) JOIN lex USING (term)),
+r AS (SELECT * FROM (VALUES {rates}) AS v(rate, bits, shift)),
+s AS (SELECT doc_id, which, rate, (num >> shift) & ((1 << bits) - 1) AS k, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, {imatch.DIGITS}) AS h FROM m, r WHERE (num >> shift) & ((1 << bits) - 1) < {imatch.SAME_RATE} GROUP BY ALL),
+g AS (SELECT doc_id, which, digest, rate, k, rate * {imatch.SAME_RATE} + k AS i FROM b, r, (SELECT unnest(range({imatch.SAME_RATE})) AS k)),
+f AS (SELECT g.doc_id, g.which, i, CASE WHEN own.doc_id IS NULL THEN substr(md5((i + 1) || ':' || digest), 1, {imatch.DIGITS}) ELSE coalesce(h, '{imatch.NONE}') END AS h
+  FROM g LEFT JOIN s USING (doc_id, which, rate, k) LEFT JOIN (SELECT DISTINCT doc_id, which FROM m) AS own ON own.doc_id = g.doc_id AND own.which = g.which),
+p AS (SELECT doc_id, which, string_agg(h, '' ORDER BY i) AS print, list(h ORDER BY i) AS hs FROM f GROUP BY ALL),
+z AS (SELECT e.doc_id, e.n, sha256(e.edited) AS edited_sha256, p0.print AS fingerprint, p1.print AS edited_fingerprint, list_zip(p0.hs, p1.hs) AS own, list_zip(p0.hs, p2.hs) AS nxt
+  FROM e JOIN p AS p0 ON p0.doc_id = e.doc_id AND p0.which = 0 JOIN p AS p1 ON p1.doc_id = e.doc_id AND p1.which = 1 JOIN p AS p2 ON p2.doc_id = e.next_id AND p2.which = 0)
+SELECT doc_id, n AS n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  {', '.join(f"coalesce(len(list_filter({c}, lambda x: x[1] = x[2] AND x[1] <> '{imatch.NONE}')) / nullif(len(list_filter({c}, lambda x: x[1] <> '{imatch.NONE}' OR x[2] <> '{imatch.NONE}')), 0), 0) AS {name}" for c, name in (('own', 'near_edited'), ('nxt', 'near_next')))}
+FROM z
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -150,4 +176,4 @@ QUERIES = {
         op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
     )
 }
-ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6, "op10_imatch": imatch_sql()}

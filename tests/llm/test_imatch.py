@@ -1,46 +1,64 @@
 import hashlib
+import re
+from collections import Counter
+
+import xxhash
 
 from quillstone.llm import imatch
 
 
-def brute(rows):
+def fingerprint(text, lexicon):
+    own = sorted({w for w in re.split(r"[\W_]+", text.lower()) if w in lexicon})
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    if not own:
+        return [md5(f"{i}:{md5(text)}")[:8] for i in range(1, 65)]
+    out, shift = [], 0
+    for bits in (4, 6, 8, 10):
+        for k in range(16):
+            drawn = [w for w in own if (int(md5(w)[:15], 16) >> shift) % 2**bits == k]
+            out.append(md5(" ".join(drawn))[:8] if drawn else "00000000")
+        shift += bits
+    return out
+
+
+def likeness(a, b):
+    either = [x == y for x, y in zip(a, b, strict=True) if x != "00000000" or y != "00000000"]
+    return 1.0 if a == b else sum(either) / len(either)
+
+
+def brute(rows, least, most):
     ids = sorted({r[0] for r in rows if r[0] is not None}, reverse=True) + ([None] if any(r[0] is None for r in rows) else [])
-    text = {}
+    text, df = {}, Counter()
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64 - 2**63
     for r in rows:
         t = r[1] or ""
-        text[r[0]] = min(text.get(r[0], t), t)
+        text[r[0]] = min(text.get(r[0], t), t, key=signed)
+        df.update({w for w in re.split(r"[\W_]+", t.lower()) if w})
+    lexicon = {w for w, n in df.items() if least * len(rows) <= n <= max(most * len(rows), 1)}
     out = []
     for r in rows:
         t = r[1] or ""
         after = ids[(ids.index(r[0]) + 1) % len(ids)]
         k = len(t) // 3
         edited = t[: len(t) - k] + text[after][:k]
-        out.append((r[0], len(t), hashlib.sha256(edited.encode()).hexdigest(), t, edited, text[after]))
+        f, e, n = (fingerprint(x, lexicon) for x in (t, edited, text[after]))
+        out.append((r[0], len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(f), "".join(e), likeness(f, e), likeness(f, n)))
     return out
 
 
-def test_edits_and_neighbours(docs, rows):
-    got = imatch.compare_edits(docs).collect()
-    want = brute(rows)
-    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=str) == sorted((w[:3] for w in want), key=str)
-    prints, edited = {}, {}
-    for w in want:
-        own = next(r for r in got if (r.doc_id, r.n_chars, r.edited_sha256) == w[:3])
-        prints.setdefault(w[3], set()).add(own.fingerprint)
-        edited.setdefault(w[4], set()).add(own.edited_fingerprint)
-        assert 0 <= own.near_edited <= 1 and 0 <= own.near_next <= 1
-    assert all(len(v) == 1 for v in (*prints.values(), *edited.values()))
-    assert all(prints[t] == edited[t] for t in prints.keys() & edited.keys())
-    for w in want:
-        own = next(r for r in got if (r.doc_id, r.n_chars, r.edited_sha256) == w[:3])
-        assert (own.near_edited == 1) == (own.fingerprint == own.edited_fingerprint)
-        assert (own.near_next == 1) == ({own.fingerprint} == prints[w[5]])
+def test_whole_result_by_brute_force(spark, docs, rows):
+    for least, most in ((1 / 500, 1 / 10), (0.05, 0.5), (2.0, 1.0)):  # the last band holds nothing
+        got = sorted(map(str, map(tuple, imatch.compare_edits(docs, least, most).collect())))
+        assert got == sorted(map(str, brute(rows, least, most)))
+    extreme = [(-(2**63), "one text"), (2**63 - 1, "another"), (None, "none"), (None, ""), (0, None), (0, None)]
+    got = imatch.compare_edits(spark.createDataFrame(extreme, "doc_id long, text string"), 0, 1)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(extreme, 0, 1)))
 
 
 def test_ranges_and_joins_do_not_change_the_result(docs, monkeypatch):
     whole = sorted(map(str, imatch.compare_edits(docs).collect()))
     monkeypatch.setattr(imatch, "RANGE_ROWS", 5)
-    monkeypatch.setattr(imatch, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(imatch, "SET_TERMS", 1)
     assert sorted(map(str, imatch.compare_edits(docs).collect())) == whole
 
 
