@@ -41,49 +41,44 @@ def lexicon(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHAR
     return materialize(df.where((F.col("df") >= F.lit(least * n)) & (F.col("df") <= F.lit(max(most * n, 1.0)))), "lexicon")
 
 
-def number(term: Column) -> Column:
-    """60 bits of a term that draw its subsets: RATES bits for each rate, from the lowest on."""
-    return F.conv(F.substring(F.md5(term), 1, 15), 16, 10).cast("long")
-
-
 def subset_hashes(own: Column, digest: Column) -> Column:
     """SUBSETS hashes for a sorted array of terms.
 
-    A text without any term of the lexicon has hashes of its digest, so that it equals its copies only.
+    The md5 of a term draws its subsets: of three hexadecimal digits for each rate, the first two decide whether it is in
+    one at all, the third in which. A text without any term of the lexicon has hashes of its digest, so that it equals
+    its copies only.
     """
     short = lambda s: F.substring(F.md5(s), 1, DIGITS)
-    drawn = F.transform(own, lambda t: F.struct(t.alias("t"), number(t).alias("n")))
-
-    def of_rate(bits: int, shift: int) -> Column:
-        k_of = lambda x: F.shiftrightunsigned(x.n, shift).bitwiseAND(F.lit((1 << bits) - 1))
-        every = F.sequence(F.lit(0), F.lit(SAME_RATE - 1))
-        # the array of an array binds the rate's terms, and then each subset, to a variable: each is computed once
-        mine = lambda all_terms: F.array(F.filter(all_terms, lambda x: k_of(x) < SAME_RATE))
-        subsets = lambda all_terms: F.flatten(F.transform(mine(all_terms), lambda ts: F.transform(every, lambda k: F.filter(ts, lambda x: k_of(x) == k))))
-        return lambda all_terms: F.transform(subsets(all_terms), lambda s: F.when(F.size(s) == 0, F.lit(NONE)).otherwise(short(F.array_join(F.transform(s, lambda x: x.t), " "))))
-
-    shifts = [sum(RATES[:i]) for i in range(len(RATES))]
-    rates = [of_rate(*x) for x in zip(RATES, shifts, strict=True)]
-    full = F.transform(F.array(drawn), lambda ts: F.concat(*(r(ts) for r in rates)))[0]
-    empty = F.transform(F.array(digest), lambda h: F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: short(F.concat_ws(":", k, h))))[0]
+    drawn = F.transform(own, lambda t: F.struct(t.alias("t"), F.substring(F.md5(t), 1, 3 * len(RATES)).alias("d")))
+
+    def of_rate(all_terms: Column, i: int, bits: int) -> Column:
+        limit = format(256 >> (bits - 4), "02x") if bits > 4 else "g"  # as text above all digits
+        chosen = F.filter(all_terms, lambda x: F.substring(x.d, 3 * i + 1, 2) < limit)
+        placed = F.transform(chosen, lambda x: F.struct(x.t.alias("t"), F.substring(x.d, 3 * i + 3, 1).alias("k")))
+        every = F.array(*(F.lit(format(k, "x")) for k in range(SAME_RATE)))
+        # the array of an array binds the rate's terms to a variable, so that they are computed once
+        subsets = F.flatten(F.transform(F.array(placed), lambda xs: F.transform(every, lambda k: F.filter(xs, lambda x: x.k == k))))
+        return F.transform(subsets, lambda xs: F.when(F.size(xs) == 0, F.lit(NONE)).otherwise(short(F.array_join(xs.t, " "))))
+
+    full = F.transform(F.array(drawn), lambda ts: F.concat(*(of_rate(ts, i, bits) for i, bits in enumerate(RATES))))[0]
+    empty = F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), lambda k: short(F.concat_ws(":", k, digest)))
     return F.when(F.size(own) == 0, empty).otherwise(full)
 
 
-def as_text(hashes: Column) -> Column:
-    return F.array_join(hashes, "")
-
-
-def parts(fingerprint: Column) -> Column:
-    """The hashes of a fingerprint's text."""
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.substring(fingerprint, k * DIGITS + 1, F.lit(DIGITS)))
+def packed(hashes: Column) -> Column:
+    """Hashes as bytes."""
+    return F.unhex(F.array_join(hashes, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of equal hashes among the subsets in which one of two arrays of hashes has terms; 1 for equal ones."""
-    either = F.zip_with(a, b, lambda x, y: ((x != NONE) | (y != NONE)).cast("int"))
-    equal = F.zip_with(a, b, lambda x, y: ((x == y) & (x != NONE)).cast("int"))
-    total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
-    return F.when(a == b, 1.0).otherwise(F.coalesce(F.try_divide(total(equal).cast("double"), total(either).cast("double")), F.lit(0.0)))
+    """The share of equal hashes among the subsets in which one of two fingerprints (bytes) has terms; 1 for equal ones."""
+    size, none = DIGITS // 2, F.lit(bytes(DIGITS // 2))
+    every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    pairs = F.transform(every, lambda k: F.struct(F.substring(a, k * size + 1, F.lit(size)).alias("a"), F.substring(b, k * size + 1, F.lit(size)).alias("b")))
+    either = F.filter(pairs, lambda p: (p.a != none) | (p.b != none))
+    # the array of an array binds the pairs to a variable, so that they are made once
+    share = F.transform(F.array(either), lambda ps: F.try_divide(F.size(F.filter(ps, lambda p: p.a == p.b)).cast("double"), F.size(ps).cast("double")))[0]
+    return F.when(a == b, 1.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
 def successors(ids: DataFrame) -> DataFrame:
@@ -111,14 +106,14 @@ def in_lexicon(rows: DataFrame, words: DataFrame, names: tuple[str, ...]) -> Dat
         return rows.withColumns({c: F.array().cast("array<string>") for c in names})
     if len(some) <= SET_TERMS:
         wanted = ", ".join(f"'{t}'" for t in some)  # letters and digits only
-        both = F.expr(f"transform(array({', '.join(names)}), ts -> array_sort(filter(ts, t -> t in ({wanted}))))")
+        both = F.expr(f"transform(array({', '.join(names)}), ts -> sort_array(filter(ts, t -> t in ({wanted}))))")
         rows = rows.withColumn("_both", both)
         return rows.withColumns({c: F.col("_both")[i] for i, c in enumerate(names)}).drop("_both")
     rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "terms")
     marked = lambda c, i: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(i).alias("which")))
     every = F.concat(*(marked(c, i) for i, c in enumerate(names)))
     found = rows.select("_row", F.inline_outer(every)).join(words.select("term"), "term")
-    sets = found.groupBy("_row").agg(*(F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("term")))).alias(f"_s{i}") for i in range(len(names))))
+    sets = found.groupBy("_row").agg(*(F.sort_array(F.collect_list(F.when(F.col("which") == i, F.col("term")))).alias(f"_s{i}") for i in range(len(names))))
     rows = rows.join(sets, "_row", "left")
     return rows.withColumns({c: F.coalesce(f"_s{i}", F.array().cast("array<string>")) for i, c in enumerate(names)}).drop("_row", *(f"_s{i}" for i in range(len(names))))
 
@@ -146,13 +141,13 @@ def compare_edits(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOS
     both = texts.join(lent, F.col("k").eqNullSafe(F.col("to_k"))).select("k", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
     own = both.select("k", "n_chars", F.xxhash64("text").alias("h"), F.sha2("edited", 256).alias("sha"), F.md5("text").alias("t"), F.md5("edited").alias("e"), terms(F.col("text")).alias("a"), terms(F.col("edited")).alias("b"))
     own = in_lexicon(own, words, ("a", "b"))
-    hashed = own.select("k", "n_chars", "h", "sha", subset_hashes(F.col("a"), F.col("t")).alias("f"), subset_hashes(F.col("b"), F.col("e")).alias("g"))
-    prints = hashed.select("k", "n_chars", "h", "sha", as_text(F.col("f")).alias("f"), as_text(F.col("g")).alias("g"), likeness(F.col("f"), F.col("g")).alias("near_edited"))
-    prints = materialize(prints, "prints")
+    hashed = own.select("k", "n_chars", "h", "sha", packed(subset_hashes(F.col("a"), F.col("t"))).alias("f"), packed(subset_hashes(F.col("b"), F.col("e"))).alias("g"))
+    prints = materialize(hashed, "prints")
     heads = prints.groupBy("k").agg(F.min(F.struct("h", "f")).alias("l")).select(F.col("k").alias("hk"), F.col("l.f").alias("next_f"))
     nexts = follow.join(heads, F.expr("next.k <=> hk")).select(F.col("k").alias("to_k"), "next_f")
     out = prints.join(nexts, F.col("k").eqNullSafe(F.col("to_k")))
+    shown = lambda c: F.lower(F.hex(c))
     return out.select(
-        F.col("k").alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), F.col("f").alias("fingerprint"), F.col("g").alias("edited_fingerprint"),
-        "near_edited", likeness(parts(F.col("f")), parts(F.col("next_f"))).alias("near_next"),
+        F.col("k").alias("doc_id"), "n_chars", F.col("sha").alias("edited_sha256"), shown("f").alias("fingerprint"), shown("g").alias("edited_fingerprint"),
+        likeness(F.col("f"), F.col("g")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"),
     )

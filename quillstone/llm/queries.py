@@ -145,7 +145,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def imatch_sql() -> str:
     """I-Match in SQL, with the operator's parameters as literals."""
-    rates = ", ".join(f"({i}, {bits}, {sum(imatch.RATES[:i])})" for i, bits in enumerate(imatch.RATES))
+    rates = ", ".join(f"({i}, '{format(256 >> (bits - 4), '02x') if bits > 4 else 'g'}')" for i, bits in enumerate(imatch.RATES))
     words = lambda c: rf"list_distinct(list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''))"
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
@@ -154,9 +154,9 @@ e AS (SELECT *, substr(text, 1, n - n // 3) || substr(after, 1, n // 3) AS edite
 b AS (SELECT doc_id, 0 AS which, md5(text) AS digest, {words('text')} AS terms FROM e UNION ALL SELECT doc_id, 1, md5(edited), {words('edited')} FROM e),
 lex AS (SELECT term FROM (SELECT unnest(terms) AS term FROM b WHERE which = 0) GROUP BY term
   HAVING count(*) >= {imatch.LEAST_SHARE!r}::DOUBLE * (SELECT count(*) FROM d) AND count(*) <= greatest({imatch.MOST_SHARE!r}::DOUBLE * (SELECT count(*) FROM d), 1.0)),
-m AS (SELECT doc_id, which, term, CAST('0x' || substr(md5(term), 1, 15) AS BIGINT) AS num FROM (SELECT doc_id, which, unnest(terms) AS term FROM b) JOIN lex USING (term)),
-r AS (SELECT * FROM (VALUES {rates}) AS v(rate, bits, shift)),
-s AS (SELECT doc_id, which, rate, (num >> shift) & ((1 << bits) - 1) AS k, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, {imatch.DIGITS}) AS h FROM m, r WHERE (num >> shift) & ((1 << bits) - 1) < {imatch.SAME_RATE} GROUP BY ALL),
+m AS (SELECT doc_id, which, term, md5(term) AS num FROM (SELECT doc_id, which, unnest(terms) AS term FROM b) JOIN lex USING (term)),
+r AS (SELECT * FROM (VALUES {rates}) AS v(rate, upto)),
+s AS (SELECT doc_id, which, rate, CAST('0x' || num[3 * rate + 3] AS BIGINT) AS k, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, {imatch.DIGITS}) AS h FROM m, r WHERE num[3 * rate + 1:3 * rate + 2] < upto GROUP BY ALL),
 g AS (SELECT doc_id, which, digest, rate, k, rate * {imatch.SAME_RATE} + k AS i FROM b, r, (SELECT unnest(range({imatch.SAME_RATE})) AS k)),
 f AS (SELECT g.doc_id, g.which, i, CASE WHEN own.doc_id IS NULL THEN substr(md5((i + 1) || ':' || digest), 1, {imatch.DIGITS}) ELSE coalesce(h, '{imatch.NONE}') END AS h
   FROM g LEFT JOIN s USING (doc_id, which, rate, k) LEFT JOIN (SELECT DISTINCT doc_id, which FROM m) AS own ON own.doc_id = g.doc_id AND own.which = g.which),

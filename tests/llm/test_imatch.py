@@ -12,12 +12,11 @@ def fingerprint(text, lexicon):
     md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
     if not own:
         return [md5(f"{i}:{md5(text)}")[:8] for i in range(1, 65)]
-    out, shift = [], 0
-    for bits in (4, 6, 8, 10):
+    out = []
+    for i, share in enumerate((256, 64, 16, 4)):  # of 256
         for k in range(16):
-            drawn = [w for w in own if (int(md5(w)[:15], 16) >> shift) % 2**bits == k]
+            drawn = [w for w in own if int(md5(w)[3 * i : 3 * i + 2], 16) < share and int(md5(w)[3 * i + 2], 16) == k]
             out.append(md5(" ".join(drawn))[:8] if drawn else "00000000")
-        shift += bits
     return out
 
 
