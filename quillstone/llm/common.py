@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +85,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def local_groups(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least id of each row's and column's component in a block, by propagation along linked (rows x columns)."""
+    most = np.iinfo(np.int64).max
+    r, c = rows.copy(), columns.copy()
+    for _ in range(len(r) + len(c)):
+        c2 = np.minimum(c, np.where(linked, r[:, None], most).min(0))
+        r2 = np.minimum(r, np.where(linked, c2[None, :], most).min(1))
+        if (r2 == r).all() and (c2 == c).all():
+            break
+        r, c = r2, c2
+    return r, c

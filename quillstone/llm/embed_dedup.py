@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, local_groups, materialize
 
 #: The centres are fitted on at most so many vectors, those with the least hash.
 MAX_SAMPLE = 20_000
@@ -73,19 +73,6 @@ def cells(sample: np.ndarray, most: int, group: float, margin: float) -> np.ndar
     return best
 
 
-def local_groups(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least id of each row's and column's component in a block, by propagation along linked (rows x columns)."""
-    most = np.iinfo(np.int64).max
-    r, c = rows.copy(), columns.copy()
-    for _ in range(len(r) + len(c)):
-        c2 = np.minimum(c, np.where(linked, r[:, None], most).min(0))
-        r2 = np.minimum(r, np.where(linked, c2[None, :], most).min(1))
-        if (r2 == r).all() and (c2 == c).all():
-            break
-        r, c = r2, c2
-    return r, c
-
-
 def usable(embedding: str = "embedding", label: str = "label"):
     """True for rows that can link: a label, and a vector that is not null, not zero and holds finite numbers only."""
     finite = F.forall(embedding, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))

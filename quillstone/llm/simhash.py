@@ -4,7 +4,8 @@ A fingerprint is 64 bits wide and two documents are linked if theirs differ in a
 bits in which two such fingerprints differ most: at most two differing bits are left. So each fingerprint shuffles, for
 each dropped third, itself and all its variants at one bit (half of what is left), and the two meet at a variant in the
 middle. 131 rows for each distinct fingerprint find every link, with keys of 42 or 43 bits, where a plain ball of
-radius two over 64 bits takes 2,081.
+radius two over 64 bits takes 2,081. The variants are shuffled once; what collides is verified within its key, and of
+the links found there only a spanning forest leaves it.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, local_groups, materialize
 
 #: Bits [low, high) of the three parts of a fingerprint.
 PARTS = ((0, 21), (21, 42), (42, 64))
 RADIUS = 3
 BLOCK = 1 << 16
+#: Fingerprints of one key that are compared at a time; a key that holds more is dealt into pairs of such blocks.
+KEY_ROWS = 1_024
 
 
 def _signed(x: int) -> int:
@@ -53,26 +56,94 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints, column fp, that differ in one to three bits.
-
-    A pair with r differing bits outside the dropped third meets once for each such third: at the fingerprint itself
-    (r = 0), at the smaller one of the pair (r = 1), or at the variant where the smaller one turned the lower bit
-    (r = 2). The distance is tested inside the join, so that only links leave it.
-    """
-    balls = []
+def balls(distinct: DataFrame) -> DataFrame:
+    """key, fp: the variants of each fingerprint, column fp."""
+    every = []
     for low, high in PARTS:
         keep = _signed(((1 << 64) - 1) ^ ((1 << high) - (1 << low)))
         for bit in (-1, *(i for i in range(64) if not low <= i < high)):
-            flip = _signed(1 << bit) if bit >= 0 else 0
-            balls.append(F.struct(F.lit(keep).cast("long").alias("keep"), F.lit(flip).cast("long").alias("flip"), F.lit(bit).cast("byte").alias("bit")))
-    ball = distinct.select("fp", F.inline(F.array(*balls)))
-    keyed = ball.select((F.col("fp").bitwiseAND(F.col("keep"))).bitwiseXOR(F.col("flip")).alias("key"), "fp", "bit")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    meet = "(a.bit = -1 and (b.bit = -1 or b.bit >= 0)) or (a.bit >= 0 and b.bit > a.bit)"
-    near = f"a.key = b.key and a.fp < b.fp and ({meet}) and bit_count(a.fp ^ b.fp) <= {RADIUS}"
-    # the planner sizes a side by its fingerprints and not by their balls, 131 times as many: it must not broadcast one
-    return a.join(b.hint("merge"), F.expr(near)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+            every.append(F.struct(F.lit(keep).cast("long").alias("keep"), F.lit(_signed(1 << bit) if bit >= 0 else 0).cast("long").alias("flip")))
+    ball = distinct.select("fp", F.inline(F.array(*every)))
+    return ball.select((F.col("fp").bitwiseAND(F.col("keep"))).bitwiseXOR(F.col("flip")).alias("key"), "fp")
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (fingerprint, a smaller one) that connect whatever links of the fingerprints a with those in b connect."""
+    linked = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= RADIUS
+    row, column = local_groups(linked, a, b)
+    fp, least = np.r_[a, b], np.r_[row, column]
+    return fp[least < fp], least[least < fp]
+
+
+def within_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For rows (key, fp) sorted by both: kind 0, edges (a, b) of each key; kind 1, rows (key, fp) of keys with over KEY_ROWS fingerprints."""
+    key, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    large = None
+
+    def frame(kind: int, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"kind": np.full(len(a), kind, np.int32), "a": a, "b": b})
+
+    def found(key: np.ndarray, fp: np.ndarray) -> Iterator[pd.DataFrame]:
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.r_[first, len(key)])
+        two = first[size == 2]
+        near = np.bitwise_count(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64)) <= RADIUS
+        out = [(fp[two + 1][near], fp[two][near])]
+        out += [forest(fp[at : at + n], fp[at : at + n]) for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist(), strict=True)]
+        a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1))
+        if len(a):
+            yield frame(0, a[a != b], b[a != b])
+
+    for batch in batches:
+        key, held = np.r_[key, batch["key"].to_numpy()], np.r_[held, batch["fp"].to_numpy()]
+        if not len(key):
+            continue
+        if large is not None:
+            n = int(np.searchsorted(key, large, side="right"))
+            yield frame(1, key[:n], held[:n])
+            key, held = key[n:], held[n:]
+            if not len(key):
+                continue
+            large = None
+        # the last key may go on in the next batch; a key within a batch may be large as well
+        last = int(np.searchsorted(key, key[-1]))
+        names, counts = np.unique(key[:last], return_counts=True)
+        many = np.isin(key[:last], names[counts > KEY_ROWS])
+        yield from found(key[:last][~many], held[:last][~many])
+        if many.any():
+            yield frame(1, key[:last][many], held[:last][many])
+        key, held = key[last:], held[last:]
+        if len(key) > KEY_ROWS:
+            large = key[-1]
+            yield frame(1, key, held)
+            key, held = key[:0], held[:0]
+    yield from found(key, held)
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints, column fp: they connect what links of up to three bits connect, and no more.
+
+    Two fingerprints with at most one differing bit on each side of the middle meet at a key. A key's edges are a
+    spanning forest, as many as it has fingerprints at most, however many links there are among them.
+    """
+    dealt = balls(distinct).repartition("key").sortWithinPartitions("key", "fp")
+    found = materialize(dealt.mapInPandas(within_keys, "kind int, a long, b long"), "links")
+    edges = found.where("kind = 0").select("a", "b")
+    # keys with many fingerprints: block i meets block j, each pair in a task of bounded size
+    large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp")).distinct()
+    sizes = large.groupBy("key").agg(F.ceil(F.count("*") / KEY_ROWS).cast("int").alias("blocks"))
+    own = large.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = own.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp")
+
+    def product(group: pd.DataFrame) -> pd.DataFrame:
+        mine = (group["own"] == group["i"]).to_numpy()
+        fp = group["fp"].to_numpy()
+        a, b = (fp, fp) if (group["i"] == group["j"]).all() else (fp[mine], fp[~mine])
+        edges = forest(a, b) if len(a) and len(b) else (fp[:0], fp[:0])
+        return pd.DataFrame({"a": edges[0], "b": edges[1]})
+
+    return edges.unionByName(pairs.groupBy("key", "i", "j").applyInPandas(product, "a long, b long")).distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from quillstone.llm import embed_dedup
+from quillstone.llm import common, embed_dedup
 from tests.llm.test_simhash import groups_of
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id long, cell string, copies int"
@@ -67,7 +67,7 @@ def test_local_groups():
     edges = {(a, b) for a in ids for b in ids if a != b and rng.random() < 0.03}
     edges |= {(b, a) for a, b in edges}
     linked = np.array([[(a, b) in edges for b in ids] for a in ids])
-    r, c = embed_dedup.local_groups(linked, np.array(ids), np.array(ids))
+    r, c = common.local_groups(linked, np.array(ids), np.array(ids))
     want = groups_of(ids, lambda a, b: (a, b) in edges)
     # a row and a column of one vector are two vertices here: what is linked at all is in one group
     assert all(min(r[i], c[i]) == want[i] or not linked[i].any() for i in ids)
