@@ -88,12 +88,12 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     weights maps (source, source_size) to (source, source_size, knots). In the source's shuffled order, fixed by seed and
     doc_id, every document is taken floor(target / source_size) times, and once more while the words so taken stay
     within the rest; the one that crosses the line is taken if more than half of it is inside. So a source misses its
-    target by at most half a document. position is the place of the document's first word in the source's order,
-    by the demand over the whole source. positions are the training times at which each copy is read (one for a document
-    that is not taken): the source's words are taken in passes, target of them in all, and the demand for them is
-    inverted where the copy starts. Running sums are by slice: counts by slice first, then rows within one, so that a source with a third of all
-    rows is spread over many tasks. Empty tables give an empty result; null text has size 0; a null source is a source;
-    rows that share an id are documents of their own.
+    target by at most half a document. positions are the training times at which the copies are read: the source's words
+    are taken in passes, target of them in all, and the demand for them is inverted where a copy starts; a document that
+    is not taken has none. position is the first of them, or null. Running sums are by slice: counts by slice first, then
+    rows within one, so that a source with a third of all rows is spread over many tasks. Empty tables give an empty
+    result; null text has size 0; a null source is a source; rows that share an id are documents of their own; of
+    columns that clash with the result's the result's stays.
     """
     sized = materialize(sizes(docs, keep), "sizes")
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
@@ -117,11 +117,11 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     rest = F.col("target") - whole * F.col("source_size")
     once_more = (start + F.col("size") / 2 < rest).cast("long")
     copies = F.least(whole + once_more, F.lit(int(most))).cast("long")
-    demand = F.coalesce(F.try_divide(start * F.col("weight"), F.col("source_size")), F.lit(0.0))
-    passes = F.sequence(F.lit(0), (F.greatest(copies, F.lit(1)) - 1).cast("int"))
+    passes = F.when(copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
     due = lambda c: F.coalesce(F.try_divide((c * F.col("source_size") + start) * F.col("weight"), F.col("target")), F.lit(0.0))
     positions = F.transform(passes, lambda c: invert(F.col("knots"), due(c)))
-    out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), invert(F.col("knots"), demand).alias("position"), positions.alias("positions"))
+    out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), positions.alias("positions"))
+    out = out.withColumn("position", F.get("positions", F.lit(0)))
     return out.repartitionByRange("position").sortWithinPartitions("position", "doc_id")
 
 
@@ -134,9 +134,10 @@ def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed:
     word_hash = F.xxhash64("text")
     keys = docs.select("doc_id", "source", "text", word_hash.alias("_text"))
     mixed = mix(keys, weights, most, seed, keep=["_text"])
-    copies = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
-    mixed = mixed.groupBy("doc_id", "_text").agg(F.min_by(F.struct(copies.alias("n"), "positions"), "position").alias("m"))
-    mixed = mixed.where("m.n > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.slice("m.positions", F.lit(1), F.col("m.n").cast("int")).alias("_positions"))
+    # without words: once, at the beginning
+    at = F.when(F.col("size") > 0, F.col("positions")).otherwise(F.array(F.coalesce("position", F.lit(0.0))))
+    mixed = mixed.select("doc_id", "_text", at.alias("at")).groupBy("doc_id", "_text").agg(F.min(F.struct(F.size("at").alias("n"), "at")).alias("m"))
+    mixed = mixed.where("m.n > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), F.col("m.at").alias("_positions"))
     mixed = materialize(mixed, "mixed")
     out = docs.withColumn("_text", word_hash).join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
     out = out.withColumn("_position", F.explode("_positions"))

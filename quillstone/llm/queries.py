@@ -97,9 +97,12 @@ s3 AS (SELECT *, (total - coalesce(sum(cap) OVER b, 0)) / (all_w - coalesce(sum(
 s AS (SELECT *, least(cap, max(CASE WHEN try_at <= full_at THEN try_at END) OVER () * w) AS target FROM s3),
 r AS (SELECT d.doc_id, d.size, s.*, sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
     FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
-c AS (SELECT *, floor(coalesce(target / nullif(source_size, 0), 0)) AS whole, coalesce(start * w / nullif(source_size, 0), 0) AS demand, w * (1 - tilt) AS w0, 2 * w * tilt AS slope FROM r)
-SELECT doc_id, size, source_size, target, CAST(least(whole + CASE WHEN start + size / 2 < target - whole * source_size THEN 1 ELSE 0 END, 3) * size AS BIGINT) AS taken,
-  round(least(2 * demand / (w0 + sqrt(w0 * w0 + 2 * slope * demand)), 1), 9) AS position FROM c
+c0 AS (SELECT *, floor(coalesce(target / nullif(source_size, 0), 0)) AS whole FROM r),
+c AS (SELECT *, CAST(least(whole + CASE WHEN start + size / 2 < target - whole * source_size THEN 1 ELSE 0 END, 3) AS BIGINT) AS copies FROM c0),
+-- the words taken before a document's first copy are the start; at time t the schedule has asked for target * (share of its area up to t) words
+t AS (SELECT *, CASE WHEN copies = 0 THEN NULL WHEN start = 0 THEN 0 WHEN start >= target THEN 1
+    ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * start / target) - (1 - tilt)) / (2 * tilt) END AS t FROM c)
+SELECT doc_id, size, source_size, target, copies * size AS taken, round(t, 9) AS position FROM t
 """
 
 

@@ -38,7 +38,8 @@ def test_mix(docs, rows):
     assert len(got) == len(rows)
     taken, size, largest, target = defaultdict(int), defaultdict(int), defaultdict(int), {}
     for r in got:
-        assert 0 <= r.taken <= 3 * r.size and 0 <= r.position <= 1
+        assert 0 <= r.taken <= 3 * r.size and len(r.positions) == r.copies and all(0 <= p <= 1 for p in r.positions)
+        assert r.positions == sorted(r.positions) and r.position == (r.positions[0] if r.positions else None)
         taken[r.source] += r.taken
         size[r.source] += r.size
         largest[r.source] = max(largest[r.source], r.size)
@@ -46,7 +47,7 @@ def test_mix(docs, rows):
     by_id = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
     assert all(by_id[r.doc_id] == r.size for r in got) and all(r.source_size == size[r.source] for r in got)
     assert all(abs(taken[s] - target[s]) <= largest[s] for s in size)
-    positions = [r.position for r in got]
+    positions = [-1 if r.position is None else r.position for r in got]
     assert positions == sorted(positions)
 
 
@@ -100,3 +101,22 @@ def test_weights_are_met_along_the_whole_curriculum(spark):
     order = [r.source for r in mixing.resample(docs, weights).collect()]
     tail = order[-len(order) // 5 :]
     assert all(tail.count(s) / len(tail) == pytest.approx(order.count(s) / len(order), abs=0.03) for s in sizes)
+
+
+def test_repeats_are_no_neighbours(spark):
+    docs = spark.createDataFrame([(i, "a" if i % 50 else "b", "w " * 9) for i in range(500)], "doc_id long, source string, text string")
+    order = [r.doc_id for r in mixing.resample(docs).collect()]
+    assert len(order) > len(set(order)) and all(x != y for x, y in zip(order, order[1:], strict=False))
+
+
+def test_taken_words_follow_the_schedule_for_every_source(spark):
+    """The property, without the operator's formula: words taken before t are the area's share, within one document."""
+    rows = [(i, f"s{i % 7}" if i % 3 else "big", "w " * (1 + i * 7 % 40)) for i in range(900)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for k, source in enumerate(sorted({r.source for r in mixed})):
+        own = [(p, r.size) for r in mixed if r.source == source for p in r.positions]
+        target = next(r.target for r in mixed if r.source == source)
+        tilt = 0.5 if k % 2 else -0.5
+        for t in (i / 10 for i in range(1, 11)):
+            wanted = target * ((1 - tilt) * t + tilt * t * t)  # the integral of (1 - tilt) + 2 * tilt * t
+            assert sum(n for p, n in own if p < t) == pytest.approx(wanted, abs=41)
