@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -16,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: The model is fitted on at most so many labelled rows, those with the least hash of their id.
 MAX_TRAINING_ROWS = 40_000
 #: The lexicon keeps at most so many entries, those with the largest likelihood ratio.
@@ -24,7 +27,8 @@ STEMS = (4, 5, 6, 7)
 #: Least likelihood-ratio statistic and odds ratio of a lexicon entry.
 LEAST_G2, LEAST_ODDS = 27.0, 20.0
 #: Second-person pronouns of the languages in use.
-SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch euer tu te toi ton ta tes vous votre vos usted ustedes ti tus vosotros".split())
+SECOND_PERSON = frozenset(b"you your yours yourself u ur du dich dir dein deine deinen ihr euch euer tu te toi ton ta tes vous votre vos usted ustedes ti tus vosotros".split())
+#: Words between a word of the lexicon and a pronoun that count as near.
 NEAR_WORDS = 12
 FEATURES = (
     "log_words", "lexicon_per_1000", "log_lexicon", "lexicon_distinct", "lexicon_best", "lexicon_sum_per_1000", "second_person_near",
@@ -38,6 +42,8 @@ _SYMBOLS = frozenset("0123456789@$*!|+")
 MIXED_CHARS = 64
 _PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "*": None})
 _PUNCT = [b for b in range(33, 127) if not chr(b).isalnum()]
+#: All ASCII characters but letters to blanks.
+_LETTERS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def stems(text: str) -> set[str]:
@@ -101,6 +107,24 @@ class Lexicon:
         return [found[k] for k in sorted(found)]
 
 
+def plain_words(text: str) -> list[bytes]:
+    """Words between white space and ASCII characters that are no letters."""
+    return text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+
+
+def nearness(low: str, hits: list[tuple[int, str, float]], pronouns: list[int]) -> float:
+    """1 / (1 + words between) for the closest hit and pronoun with fewer than NEAR_WORDS words between, or 0; pronouns: their places among plain_words(low)."""
+    best, place, at = 0.0, 0, 0
+    for start, *_ in hits if pronouns else ():
+        place, at = place + len(plain_words(low[at:start])), start
+        k = bisect_left(pronouns, place)
+        for other in pronouns[max(0, k - 1) : k + 1]:
+            between = max(0, abs(other - place) - 1)
+            if between < NEAR_WORDS:
+                best = max(best, 1.0 / (1 + between))
+    return best
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features FEATURES of a whole text; all zero for an empty one."""
     if not text:
@@ -110,20 +134,16 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     words = sum(1 for _ in _SPACED.finditer(text)) if len(text) > 1 << 24 else len(_SPACED.findall(text))
     per = 1000.0 / max(1, words)
     hits = lexicon.hits(low)
-    near = 0.0
-    for start, word, _ in hits:
-        before, after = low[max(0, start - 90) : start].split()[-NEAR_WORDS:], low[start + len(word) : start + len(word) + 90].split()[:NEAR_WORDS]
-        for side in (reversed(before), after):
-            near = max([near, *(1.0 / (1 + d) for d, w in enumerate(side) if w.strip(".,;:!?") in SECOND_PERSON)])
+    pronouns = [i for i, w in enumerate(plain_words(low)) if w in SECOND_PERSON]
+    near = nearness(low, hits, pronouns)
     mixed = mixed_words(text) if int(raw[48:58].sum() + raw[[64, 36, 33, 42, 124, 43]].sum()) else []
     disguised = [lexicon.word(m.lower().translate(_PLAIN)) for m in mixed]
-    second = sum(low.count(f" {w} ") for w in ("you", "your", "du", "dich", "tu", "vous", "usted"))
     shouted = len(_SHOUT.findall(text)) if int(raw[65:91].sum()) else 0
     chars, letters = len(text), max(1, int(raw[65:91].sum() + raw[97:123].sum()))
     total = sum(h[2] for h in hits)
     return [
         math.log1p(words), len(hits) * per, math.log1p(len(hits)), float(len({h[1] for h in hits})), max([0.0, *(h[2] for h in hits)]), total * per, near,
-        second * per, raw[65:91].sum() / letters, shouted * per, raw[33] / chars, raw[63] / chars, raw[_PUNCT].sum() / chars, len(mixed) * per, float(sum(d > 0 for d in disguised)),
+        len(pronouns) * per, raw[65:91].sum() / letters, shouted * per, raw[33] / chars, raw[63] / chars, raw[_PUNCT].sum() / chars, len(mixed) * per, float(sum(d > 0 for d in disguised)),
     ]
 
 
@@ -227,13 +247,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS, s
 
     The sample's ids are broadcast (max_rows rows at most), its texts stay distributed; the counts of stems are
     aggregated in Spark and the lexicon's entries and the sample's features, both bounded, come to the driver. Rows
-    without a label (null toxic) are left out; an id with several labels is toxic if one of them says so.
+    without a label (null toxic) are left out; an id with several labels is toxic if one of them says so, and one with
+    several texts has that of the least hash.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_rows)
     known = known.select(F.col("doc_id").alias("_id"), "_toxic")
     text = F.coalesce("text", F.lit("")).alias("text")
-    sample = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("_id", text, "_toxic")
+    sample = docs.select("doc_id", text).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    sample = materialize(sample.groupBy("_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("_toxic").alias("_toxic")), "sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, list[int]] = {}
@@ -293,7 +315,12 @@ def scorer(model: Model):
 
 
 def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of docs; null and empty texts are scored from all-zero features."""
+    """doc_id, held_out, score, predicted for each row of docs.
+
+    Null and empty texts are scored from all-zero features, long ones whole. Equal texts, repeated rows among them, have
+    equal scores. Other columns are not read, so that their names may clash with the result's. Without labels of both
+    classes the score is the one class's share; an empty table gives an empty one.
+    """
     own = scorer(fit(docs, labels, max_rows))
     out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), own("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -34,6 +34,15 @@ def test_features_see_proximity_and_disguise():
     assert get("IDIOT STOP")["capitals"] == 1 and set(get("").values()) == {0.0}
 
 
+def test_nearness_counts_words_not_characters():
+    lexicon = toxicity.Lexicon({"idiot$": 3.0})
+    for between in (0, 1, 5, 11, 12, 40):
+        for text in ("You, " + "unbelievablylongword " * between + "idiot!", "an idiot " + "unbelievablylongword " * between + "(du)"):
+            got = dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon), strict=True))
+            assert got["second_person_near"] == (1 / (1 + between) if between < 12 else 0)
+            assert got["second_person_per_1000"] > 0
+
+
 def corpus(n=700):
     rng = random.Random(4)
     docs, labels = [], []
