@@ -1,8 +1,9 @@
 """Chat formatting over typed content parts.
 
-A turn is a list of parts (kind, value, tokens). A visitor flattens it: text parts are escaped and written out, image,
-audio and document parts become placeholders in their order, each with an attachment reference and the number of
-tokens to which it expands. The template is
+A turn is a list of parts (kind, value, tokens). A visitor flattens it: text parts, and parts without a kind, are escaped
+and written out; image, audio and document parts become placeholders in their order, each with an attachment reference
+and the number of tokens to which it expands, and parts of any other kind a placeholder "other" that keeps their kind in
+the attachment; null parts add nothing. The template is
 
     <turn ROLE>\\n TEXT </turn>\\n
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 PARTS = "array<struct<kind:string,value:string,tokens:int>>"
 FORMATTED = "conv_id long, position long, role string, formatted string, loss boolean, attachments array<struct<kind:string,ref:string,tokens:int,start:int>>"
 _ESCAPED = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"<turn ((?:[^\\<>]++|\\.)*+)>\n((?:[^\\<]++|\\.|<(?:image|audio|document) \d+ \d+>)*+)</turn>\n", re.S)
-_PLACE = re.compile(r"(?:[^\\<]++|\\.)++|<(image|audio|document) \d+ \d+>", re.S)
+_TURN = re.compile(r"<turn ((?:[^\\<>]++|\\.)*+)>\n((?:[^\\<]++|\\.|<(?:image|audio|document|other) \d+ \d+>)*+)</turn>\n", re.S)
+_PLACE = re.compile(r"(?:[^\\<]++|\\.)++|<(image|audio|document|other) \d+ \d+>", re.S)
 
 
 def escape(text: str) -> str:
@@ -44,22 +45,30 @@ class Flattener:
     attachments: list[dict] = field(default_factory=list)
     length: int = 0
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part['kind']}", self.visit_other)(part)
+    def visit(self, part: dict | None) -> None:
+        if part is not None:
+            visitors = {None: self.visit_text, "text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}
+            visitors.get(part["kind"], self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
         self._write(escape(part["value"] or ""))
 
     def visit_other(self, part: dict) -> None:
-        raise ValueError(f"unknown part {part['kind']!r}")
+        self._attach(part, "other")
 
-    def _attach(self, part: dict) -> None:
-        n = len(self.attachments)
-        tokens = int(part["tokens"] or 0)
-        self.attachments.append({"kind": part["kind"], "ref": part["value"] or "", "tokens": tokens, "start": self.length})
-        self._write(f"<{part['kind']} {n} {tokens}>")
+    def visit_image(self, part: dict) -> None:
+        self._attach(part, "image")
+
+    def visit_audio(self, part: dict) -> None:
+        self._attach(part, "audio")
 
-    visit_image = visit_audio = visit_document = _attach
+    def visit_document(self, part: dict) -> None:
+        self._attach(part, "document")
+
+    def _attach(self, part: dict, shown: str) -> None:
+        n, tokens = len(self.attachments), max(0, int(part["tokens"] or 0))
+        self.attachments.append({"kind": part["kind"], "ref": part["value"] or "", "tokens": tokens, "start": self.length})
+        self._write(f"<{shown} {n} {tokens}>")
 
     def _write(self, text: str) -> None:
         self.out.append(text)
@@ -103,7 +112,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
     turns: conv_id, turn, role, parts. A conversation's text is its rows' formatted joined by nothing. Rows pass through
     one at a time, so a conversation of any length needs the memory of one batch. Null parts, an empty list and an
-    empty text give a turn with an empty text; a null role is written as an empty one; null conv_ids are one
+    empty text add nothing and give a turn with an empty text; a null role is written as an empty one; null conv_ids are one
     conversation; repeated rows are repeated turns. Other columns are dropped.
     """
 
@@ -125,7 +134,9 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 def digests(turns: DataFrame) -> DataFrame:
     """One row for each conversation, from its formatted text read back: the columns of op2.
 
-    The pass streams: hashes are fed turn by turn and only a conversation's state is held.
+    The pass streams: hashes are fed turn by turn and only a conversation's state is held, however long it is. Null and
+    unknown parts, null roles, null conv_ids and repeated rows are treated as by format_conversations(); other columns
+    are dropped, and an empty table gives an empty one.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

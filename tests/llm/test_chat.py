@@ -1,6 +1,5 @@
 import hashlib
 
-import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -28,8 +27,25 @@ def test_parts_become_placeholders_in_order():
     assert formatted == "<turn user>\nsee <image 0 576> & \\<x\\><audio 1 90><document 2 0></turn>\n"
     assert [(a["kind"], a["ref"], a["tokens"], a["start"]) for a in attachments] == [("image", "s3/a.png", 576, 4), ("audio", "b.wav", 90, 25), ("document", "", 0, 37)]
     assert list(chat.read_turns(formatted)) == [("user", "see  & <x>")]
-    with pytest.raises(ValueError):
-        chat.format_turn("user", [{"kind": "video", "value": "", "tokens": 0}])
+
+
+def test_odd_parts_do_not_fail(spark):
+    parts = [None, {"kind": None, "value": "a<", "tokens": None}, {"kind": "video", "value": "c.mp4", "tokens": -3}, {"kind": "text", "value": None, "tokens": 1}, {"kind": "other", "value": None, "tokens": 7}]
+    formatted, attachments = chat.format_turn(None, parts)
+    assert formatted == "<turn >\na\\<<other 0 0><other 1 7></turn>\n" and list(chat.read_turns(formatted)) == [("", "a<")]
+    assert [(a["kind"], a["ref"], a["tokens"]) for a in attachments] == [("video", "c.mp4", 0), ("other", "", 7)]
+    rows = [(1, 0, "user", [tuple(p.values()) if p else None for p in parts], 5, "x"), (1, 1, "assistant", None, 5, "x"), (None, None, None, [], 5, "x")]
+    schema = f"conv_id long, turn long, role string, parts {chat.PARTS}, n_turns int, formatted string"
+    turns = spark.createDataFrame(rows, schema)
+    got = {r.conv_id: r for r in chat.digests(turns).collect()}
+    assert (got[1].n_turns, got[1].n_attachments, got[1].attachment_tokens, got[None].n_turns) == (2, 2, 7, 1)
+    assert [r.formatted for r in chat.format_conversations(turns).where("conv_id = 1").orderBy("position").collect()] == [formatted.replace("<turn >", "<turn user>"), "<turn assistant>\n</turn>\n"]
+
+
+def test_a_very_long_conversation(spark):
+    turns = spark.range(20_000).selectExpr("7 as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('<', repeat('ab ', 20)) as text")
+    r = chat.digests(chat.text_parts(turns)).first()
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (20_000, 610_000, hashlib.sha256(("<" + "ab " * 20).encode() * 10_000).hexdigest())
 
 
 def test_digests(spark):
