@@ -55,11 +55,11 @@ t0 AS (SELECT * FROM (VALUES {templates}) AS x(template, license, body)),
 t AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({words('body')}) AS term FROM t0) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM f),
 df AS (SELECT term, count(DISTINCT path) AS df FROM (SELECT path, unnest(list_distinct({words('text')})) AS term FROM f) WHERE term IN (SELECT term FROM t) GROUP BY term),
-idf AS (SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM t) LEFT JOIN df USING (term), n),
+idf AS (SELECT term, ln(least((1 + n) / (1 + coalesce(df, 0)), {licenses.RARE})) + 1 AS idf FROM (SELECT DISTINCT term FROM t) LEFT JOIN df USING (term), n),
 w AS (SELECT license, template, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM t JOIN idf USING (term)),
 u0 AS (SELECT path, unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{licenses.ANCHORS}')), CASE WHEN regexp_matches(regexp_extract(path, '([^/]*)$', 1), '{licenses.LICENCE_FILE}') THEN [text] ELSE [] END))) AS line FROM f),
 u AS (SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({words('line')}) AS term FROM u0) GROUP BY ALL),
-c AS (SELECT path, line, term, tf * coalesce(idf, ln(n + 1.0) + 1) AS w FROM u LEFT JOIN idf USING (term), n),
+c AS (SELECT path, line, term, tf * coalesce(idf, ln(least(n + 1.0, {licenses.RARE})) + 1) AS w FROM u LEFT JOIN idf USING (term), n),
 len AS (SELECT path, line, sqrt(sum(w * w)) AS length FROM c GROUP BY ALL),
 s AS (SELECT path, license, round(sum(w * weight) / min(length), 9) AS score FROM c JOIN w USING (term) JOIN len USING (path, line) GROUP BY path, line, template, license),
 d AS (SELECT path, license, score FROM s WHERE score >= {licenses.LEAST_COSINE} QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),

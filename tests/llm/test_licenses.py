@@ -44,3 +44,17 @@ def test_scores_are_cosines(spark):
 def test_empty_table(spark, none):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
     assert licenses.scan(licenses.document_paths(none)).count() == 0
+
+
+def test_whole_files_headers_and_identifiers(spark):
+    holder = "Copyright (c) 2020 Foo Bar Inc. All rights reserved.\n\n"
+    named = dict(licenses.TEMPLATES)  # the last, longest one of each
+    mit = "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + next(t for n, t in licenses.TEMPLATES if n == "MIT" and "NONINFRINGEMENT" in t)
+    rows = [
+        ("p/LICENSE", mit.replace(". ", ".\n")), ("q/COPYING.txt", holder + named["BSD-3-Clause"].replace(", ", ",\n")), ("r/a.py", "# SPDX-License-Identifier: MIT\nimport os\n" + "word " * 50_000),
+        ("r/b.py", "// Copyright 2020 Foo Bar Inc. Licensed under the Apache License, Version 2.0."), ("r/c.py", "nothing about it"), ("r/d.py", holder), ("r/c.py", None),
+    ]
+    for extra in (0, 3_000):  # the score does not depend on how many other files there are
+        others = [(f"x/{i}.txt", f"plain words {i}") for i in range(extra)]
+        got = {r.path: r.license for r in licenses.direct(spark.createDataFrame(rows + others, "path string, text string").fillna("")).collect()}
+        assert got == {"p/LICENSE": "MIT", "q/COPYING.txt": "BSD-3-Clause", "r/a.py": "MIT", "r/b.py": "Apache-2.0"} | ({"r/d.py": got["r/d.py"]} if "r/d.py" in got else {})
