@@ -128,6 +128,33 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+SQL7 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+k AS (SELECT * FROM (VALUES (0, 'email'), (1, 'ip'), (2, 'card'), (3, 'phone')) AS v(ord, kind)),
+m AS (SELECT doc_id, kind, regexp_extract_all(text, p) AS ms, regexp_split_to_array(text, p) AS gaps FROM d, (VALUES
+  ('email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), ('ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'),
+  ('card', '[0-9](?:[\x20-]?[0-9])+'), ('phone', '\+[0-9][\x20().0-9-]+[0-9]'), ('term', '[\p{{L}}\p{{M}}]{{3,}}')) AS v(kind, p) WHERE regexp_matches(text, p)),
+u AS (SELECT doc_id, kind, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS value, unnest(gaps[1:len(ms)]) AS gap FROM m),
+a AS (SELECT doc_id, kind, i, value, CAST(sum(length(gap) + length(value)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM u),
+b AS (SELECT doc_id, kind, ord, stop - length(value) AS start, stop, kind || ':' || CASE WHEN ord < 2 THEN lower(value) ELSE digits END AS entity FROM a JOIN k USING (kind) WHERE CASE kind
+  WHEN 'ip' THEN len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR CAST(right(x, 4) AS INT) > 255)) = 0
+  WHEN 'card' THEN length(digits) BETWEEN 13 AND 19
+    AND list_sum(list_transform(range(length(digits)), lambda j: CAST(digits[length(digits) - j] AS INT) * (1 + j % 2) - CASE WHEN CAST(digits[length(digits) - j] AS INT) * (1 + j % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0
+  WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15 ELSE true END),
+w AS (SELECT doc_id, i, lower(value) AS term, stop - length(value) AS start, stop FROM a WHERE kind = 'term'),
+free AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = w.doc_id AND b.start < w.stop AND w.start < b.stop)),
+near AS (SELECT b.doc_id, b.entity, (SELECT count(*) FROM w WHERE w.doc_id = b.doc_id AND w.stop <= b.start) AS upto, (SELECT count(*) FROM w WHERE w.doc_id = b.doc_id AND w.start < b.stop) AS beyond FROM b),
+pairs AS (SELECT entity, term, count(DISTINCT doc_id) AS n_both FROM near JOIN free USING (doc_id) WHERE (i > upto - {pii.NEAR_WORDS} AND i <= upto) OR (i > beyond AND i <= beyond + {pii.NEAR_WORDS}) GROUP BY ALL),
+e AS (SELECT entity, count(DISTINCT doc_id) AS n_entity FROM b GROUP BY entity), t AS (SELECT term, count(DISTINCT doc_id) AS n_term FROM w GROUP BY term), n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d),
+rules AS (SELECT DISTINCT term FROM (SELECT term, coalesce(ln((n_both + {pii.PRIOR_DOCS} * n_entity / n) / (greatest(n_term, n_both) + {pii.PRIOR_DOCS}) / (n_entity / n)) / nullif(ln(n / n_entity), 0), 0) AS disclosure
+  FROM pairs JOIN e USING (entity) JOIN t USING (term), n) WHERE disclosure >= {pii.GENERALISE}),
+bs AS (SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{x}') AS n_{x}" for x in pii.KINDS)}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY ord, start) AS base FROM b GROUP BY doc_id),
+ts AS (SELECT doc_id, count(*) AS n_terms, string_agg('term:' || start || ':' || stop, ',' ORDER BY start) AS terms FROM free JOIN rules USING (term) GROUP BY doc_id)
+SELECT doc_id, {', '.join(f"coalesce(n_{x}, 0) AS n_{x}" for x in pii.KINDS)}, sha256(coalesce(base, '')) AS base_sha256, concat_ws(',', base, terms) AS spans, coalesce(n_terms, 0) AS n_terms
+FROM d LEFT JOIN bs USING (doc_id) LEFT JOIN ts USING (doc_id)
+"""
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -179,4 +206,4 @@ QUERIES = {
         op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
     )
 }
-ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6, "op10_imatch": imatch_sql()}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6, "op7_pii": SQL7, "op10_imatch": imatch_sql()}
