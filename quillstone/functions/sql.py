@@ -5,19 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from ..operators.spans import Finder, acts, organisations, rules
+from ..operators.spans import Finder, acts, organisations, resolve, rules
 from . import legal
 
 
-def resolve(candidates: list[tuple[str, str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """The rows of operators.spans.resolve, for one text."""
-    taken: list[tuple[str, str, int, int]] = []
-    for c in sorted(candidates, key=lambda c: (c[2] - c[3], legal.LABEL_PRIORITY.get(c[0], 99))):
-        if all(c[3] <= t[2] or t[3] <= c[2] for t in taken):
-            taken.append(c)
-    return sorted(taken, key=lambda c: c[2])
-
-
 class ExtractSpans:
     """A row for each entity: the first column of the input, label, text, start and end."""
 
@@ -25,7 +16,7 @@ class ExtractSpans:
         self.find = Finder(rules(), {"ACT_NAME": acts(), "ORG": organisations()}, legal.ACT_PATTERN)
 
     def eval(self, row):
-        for label, text, start, end in resolve(list(self.find(row[1] or ""))):
+        for label, text, start, end in resolve(self.find(row[1] or "")):
             yield str(row[0]), label, text, start, end
 
 

@@ -78,3 +78,11 @@ def title(meta: Column, text: Column, stem: Column) -> Column:
     heading = T.strip(F.regexp_extract(text, r"(?md)^#\s+(.+)$", 1))
     named = T.title_case(F.translate(stem, "-_", "  "))
     return F.coalesce(F.nullif(T.strip(meta), F.lit("")), F.nullif(heading, F.lit("")), named)
+
+
+def normalize(texts: DataFrame, least: int = 50, detector: str = "constant") -> DataFrame:
+    """Markdown of PDF files (url, url_hash, _meta, text) as documents, with the columns of html.normalize(); _meta is the title in the file or null."""
+    named = title(F.coalesce("_meta", F.lit("")), F.col("text"), F.col("url_hash"))
+    out = texts.select("url", "url_hash", F.lit("pdf").alias("source_type"), named.alias("title"), "text")
+    out = out.withColumn("detected_language", T.detect_language(F.col("text"), detector)).withColumn("char_count", F.length("text"))
+    return out.where(F.col("char_count") >= least).select("url", "url_hash", "source_type", "title", "detected_language", "char_count", "text")

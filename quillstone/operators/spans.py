@@ -1,24 +1,30 @@
 """Typed spans in texts: rules, gazetteers and a structural heuristic give candidates, the longest win.
 
-Candidates come from one Arrow pass, row by row and without a shuffle: rules keep their regex flavour, and one automaton
-finds all phrases of the gazetteers at once. Choosing among them is an expression on the array of candidates.
+One Arrow pass, row by row and without a shuffle: rules keep their regex flavour, one automaton finds all phrases of the
+gazetteers at once, and what overlaps is resolved there too, so that only entities come back.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import legal
 
 SPAN = "struct<label:string,text:string,start:int,end:int,ord:int>"
 SPANS = f"array<{SPAN}>"
+ENTITIES = "array<struct<label:string,text:string,start:int,end:int>>"
 LABELS = ("SECTION_REF", "NOTIFICATION", "DATE", "MONEY")
+#: A model of organisations sees so many characters of a text.
+MODEL_CHARS = 100_000
+Candidate = tuple[str, str, int, int]
+Model = Callable[[str], Iterable[tuple[int, int]]]
 
 
 def rules(ruleset: str = "standard") -> list[tuple[str, str, int, str]]:
@@ -68,11 +74,12 @@ ANCHORS = {
 
 
 class Finder:
-    """Finds candidates (label, text, start, end), in the order of emission: rules by label and priority, acts, the act heuristic, organisations."""
+    """Finds candidates (label, text, start, end), in the order of emission: rules by label and priority, acts, the act heuristic, organisations, the model's."""
 
-    def __init__(self, own_rules: list, gazetteers: dict[str, list[str]], heuristic: str | None) -> None:
+    def __init__(self, own_rules: list, gazetteers: dict[str, list[str]], heuristic: str | None, model: Model | None = None) -> None:
         import ahocorasick
 
+        self.model = model
         order = {label: i for i, label in enumerate(dict.fromkeys([*LABELS, *(r[0] for r in own_rules)]))}
         ranked = sorted(own_rules, key=lambda r: (order[r[0]], r[2]))
         own = {(r[1], r[3]) for s in ("standard", "builtin") for r in rules(s)}
@@ -115,52 +122,61 @@ class Finder:
             yield from matches("ACT_NAME", self.heuristic)
         for hits in named.values():
             yield from hits
+        yield from self._modelled(text) if self.model else ()
 
+    def _modelled(self, text: str) -> list[Candidate]:
+        """The model's organisations; a text on which it fails has none."""
+        try:
+            found = [(int(s), int(e)) for s, e in self.model(text[:MODEL_CHARS])]
+        except Exception:  # noqa: BLE001 - whatever a model raises, the other candidates of the text stay
+            return []
+        return [("ORG", own, s, e) for s, e in found if (own := text[s:e].strip())]
 
-def finder(own_rules: list | None = None, gazetteers: dict[str, list[str]] | None = None, heuristic: str | None = legal.ACT_PATTERN):
-    """A function from a text column to its candidates, SPANS; a null text has none."""
-    own_rules = rules() if own_rules is None else own_rules
-    gazetteers = {"ACT_NAME": acts(), "ORG": organisations()} if gazetteers is None else gazetteers
 
-    @F.pandas_udf(SPANS)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find_in = Finder(own_rules, gazetteers, heuristic)
-        for texts in batches:
-            yield pd.Series([[{"label": a, "text": t, "start": s, "end": e, "ord": i} for i, (a, t, s, e) in enumerate(find_in(x or ""))] for x in texts], dtype=object)
+def resolve(candidates: Iterable[Candidate]) -> list[Candidate]:
+    """Candidates without overlaps, by start: longer ones win, then the label's priority, then the order of emission.
 
-    return find
+    Greedy: what has been rejected blocks nothing. Spans that touch do not overlap. Accepted spans are kept sorted, so that
+    a candidate is compared with its two neighbours only.
+    """
+    starts: list[int] = []
+    taken: list[Candidate] = []
+    for c in sorted(candidates, key=lambda c: (c[2] - c[3], legal.LABEL_PRIORITY.get(c[0], 99))):
+        at = bisect_left(starts, c[2])
+        if (at == 0 or taken[at - 1][3] <= c[2]) and (at == len(taken) or c[3] <= taken[at][2]):
+            starts.insert(at, c[2])
+            taken.insert(at, c)
+    return taken
 
 
-def priority(label: Column) -> Column:
-    out = F.lit(99)
-    for name, rank in reversed(legal.LABEL_PRIORITY.items()):
-        out = F.when(label == name, rank).otherwise(out)
-    return out
+def finder(own_rules: list | None = None, gazetteers: dict[str, list[str]] | None = None, heuristic: str | None = legal.ACT_PATTERN, model: Model | None = None, resolved: bool = True):
+    """A function from a text column to its entities, ENTITIES, or, unresolved, to its candidates, SPANS; a null text has none.
 
+    model: a function from a text to (start, end) of organisations, called on the executors; by default there is none.
+    """
+    own_rules = rules() if own_rules is None else own_rules
+    gazetteers = {"ACT_NAME": acts(), "ORG": organisations()} if gazetteers is None else gazetteers
+    names = ("label", "text", "start", "end") if resolved else ("label", "text", "start", "end", "ord")
 
-def resolve(candidates: Column) -> Column:
-    """Candidates without overlaps, by start: longer ones win, then the label's priority, then the order of emission.
+    @F.pandas_udf(ENTITIES if resolved else SPANS)
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find_in = Finder(own_rules, gazetteers, heuristic, model)
+        for texts in batches:
+            every = (resolve(find_in(x or "")) if resolved else [(*c, i) for i, c in enumerate(find_in(x or ""))] for x in texts)
+            yield pd.Series([[dict(zip(names, c, strict=True)) for c in own] for own in every], dtype=object)
 
-    Greedy: what has been rejected blocks nothing. Spans that touch do not overlap.
-    """
-    keyed = F.transform(candidates, lambda c: F.struct((c.start - c.end).alias("shorter"), priority(c.label).alias("rank"), c.ord.alias("ord"), c.alias("span")))
-    ranked = F.transform(F.array_sort(keyed), lambda k: k.span)
-    step = lambda taken, c: F.when(F.exists(taken, lambda t: (t.start < c.end) & (c.start < t.end)), taken).otherwise(F.array_append(taken, c))
-    chosen = F.aggregate(ranked, F.array().cast(SPANS), step)
-    by_start = F.array_sort(F.transform(chosen, lambda c: F.struct(c.start.alias("at"), c.alias("span"))))
-    return F.transform(by_start, lambda k: F.struct(k.span.label.alias("label"), k.span.text.alias("text"), k.span.start.alias("start"), k.span.end.alias("end")))
+    return find
 
 
 def candidates(docs: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
     """One row for each candidate of docs: key, label, span_text, start, end, ord."""
-    found = docs.select(key, finder(**options)(F.col(text)).alias("c"))
+    found = docs.select(key, finder(**options, resolved=False)(F.col(text)).alias("c"))
     return found.select(key, F.inline_outer("c")).where("start is not null").withColumnRenamed("text", "span_text")
 
 
 def annotate(docs: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
     """key and entities, array<struct<label, text, start, end>>, for each row of docs, also where there are none."""
-    found = docs.select(key, finder(**options)(F.col(text)).alias("c"))
-    return found.select(key, resolve(F.col("c")).alias("entities"))
+    return docs.select(key, finder(**options)(F.col(text)).alias("entities"))
 
 
 def entities(annotated: DataFrame, key: str) -> DataFrame:

@@ -91,7 +91,7 @@ def url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEC = "{x}"
-for _name, _char in H.ENTITIES:
+for _name, _char in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
     _DEC = "replace({}, '{}', '{}')".format(_DEC, _name, _char.replace("'", "''"))
 _PATH = f"trim({_PART.format(u='url', i=3)}, '/')"
 _TITLE = r"regexp_replace(regexp_replace({d}, '^\s+|\s+$', '', 'g'), '\s*[|\-–—]\s*[^\n]{{3,40}}$', '')".format(d=_DEC.format(x="regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +48,65 @@ def read_html(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
+def write_raw(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Raw data by path (path, content) as a Parquet table: a file for each page would be millions of small ones. The last of equal paths counts."""
+    raw.groupBy("path").agg(F.max("content").alias("content")).write.mode(mode).parquet(path)
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of a table by write_raw(), or of a folder of files."""
+    try:
+        found = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in (e.getCondition() or ""):
+            raise
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select("path", "content")
+
+
+def write_texts(texts: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Markdown texts by path (path, text) as a Parquet table with one row for each path."""
+    texts.groupBy("path").agg(F.max("text").alias("text")).write.mode(mode).parquet(path)
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None where there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return None
+        raise
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir; on one machine without that setting, in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared}/quillstone-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+_SCORES = "precision:double,recall:double,f1:double"
+_LABELS = f"map<string,struct<{_SCORES},tp:bigint,fp:bigint,fn:bigint>>"
+_REPORT = f"map<string,struct<mode:string,total_gold:bigint,total_pred:bigint,total_tp:bigint,per_label:{_LABELS},macro:struct<{_SCORES}>,micro:struct<{_SCORES}>>>"
+
+
 def write_report(report: DataFrame, path: str) -> None:
-    """The evaluation report as one JSON document: mode -> scope -> scores. It has a row for each label and mode."""
-    row = F.struct(*[c for c in report.columns if c not in ("mode", "scope")])
-    scopes = report.groupBy("mode").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("scope", row.alias("row"))))).alias("scopes"))
-    whole = scopes.agg(F.map_from_entries(F.collect_list(F.struct("mode", "scopes"))).alias("report"))
+    """The evaluation report as one JSON document: mode -> totals, per_label, macro and micro. It has a row for each label and mode."""
+    scores = ("precision", "recall", "f1")
+    row = F.struct("scope", F.struct(*scores, "tp", "fp", "fn").alias("row"))
+    mean = lambda scope: F.max(F.when(F.col("scope") == scope, F.struct(*scores))).alias(scope)
+    totals = [F.max(c).alias(c) for c in ("total_gold", "total_pred", "total_tp")]
+    labels = F.map_from_entries(F.sort_array(F.collect_list(F.when(~F.col("scope").isin("macro", "micro"), row)))).alias("per_label")
+    modes = report.groupBy("mode").agg(*totals, labels, mean("macro"), mean("micro"))
+    whole = modes.agg(F.map_from_entries(F.collect_list(F.struct("mode", F.struct(*modes.columns).alias("report")))).alias("report"))
     whole.select(F.to_json("report", {"pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """mode and report, a struct, for each mode of a written report."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.explode(F.from_json("value", _REPORT)).alias("mode", "report"))

@@ -115,3 +115,23 @@ def test_language(spark):
     df = spark.createDataFrame([("the cat and the dog are in the house of the king",), ("der Hund und die Katze sind nicht in dem Haus von",), ("kurz",)], "t string")
     assert [r[0] for r in df.select(T.detect_language(F.col("t"), "stop words")).collect()] == ["en", "de", "en"]
     assert {r[0] for r in df.select(T.detect_language(F.col("t"))).collect()} == {"en"}
+
+
+def test_lines_end_like_splitlines(spark):
+    text = "# H\rc\r\nfoo \x0bbar\x0c\n\n<!-- page 3 -->\x85x\u2028## G\u2029\x1cend\r"
+    got = sections.lines(spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "\n")], "k int, text string"), "k").orderBy("k", "n").collect()
+    want, at = [], 0
+    for raw in text.splitlines(keepends=True):
+        want.append((raw.removesuffix("\n"), at, at + len(raw.removesuffix("\n"))))
+        at += len(raw)
+    assert [(r.line, r.char_start, r.char_end) for r in got if r.k == 1] == want
+    assert [(r.k, r.line) for r in got if r.k > 1] == [(4, "")]
+    blocks = {r.block: (r.page_no, r.section_path) for r in sections.blocks(spark.createDataFrame([(1, text)], "k int, text string"), "k").collect()}
+    assert blocks == {"c": (1, ["H"]), "foo": (1, ["H"]), "bar": (1, ["H"]), "x": (3, ["H"]), "end": (3, ["H", "G"])}
+
+
+def test_a_document_of_very_many_lines(spark):
+    df = spark.createDataFrame([(1, "# Head\n" + "some words of a line\n" * 100_000)], "doc_id int, text string")
+    assert sections.blocks(df, "doc_id").count() == 100_000
+    own = chunks.chunk(df, "doc_id").orderBy("n").collect()
+    assert sum(len(r.chunk_text.split()) for r in own) == 500_000 + 56 * (len(own) - 1)

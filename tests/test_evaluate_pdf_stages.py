@@ -96,18 +96,54 @@ def test_stages_from_files_to_reports(spark, tmp_path):
     assert {r.html for r in files.read_html(spark, f"{root}/raw").collect()} >= {"<p>caf\ufffd</p>"}
     with pytest.raises(SystemExit):
         pipeline.main([root, "nothing"])
-    pipeline.main([root])
+    assert pipeline.main([root, "--skip-crawl"]) == {"parse": 1, "chunk": 1, "annotate": 1, "evaluate": 1}
     (chunk,) = files.read_jsonl(spark, f"{root}/chunks", "chunks").collect()
     assert chunk.chunk_id.endswith(":0001") and chunk.section_path == ["Duty"] and chunk.title == "Duty"
     (entities,) = files.read_jsonl(spark, f"{root}/annotations", "annotations").collect()
     assert [e.label for e in entities.entities] == ["SECTION_REF", "ACT_NAME", "ORG", "MONEY", "DATE"]
     report = json.loads("".join(r.value for r in spark.read.text(f"{root}/evaluation_report").collect()))
-    assert report["strict"]["SECTION_REF"]["tp"] == 1 and report["partial"]["MONEY"]["fn"] == 1 and report["strict"]["DATE"]["fp"] == 1
+    assert report["strict"]["per_label"]["SECTION_REF"]["tp"] == 1 and report["partial"]["per_label"]["MONEY"]["fn"] == 1 and report["strict"]["per_label"]["DATE"]["fp"] == 1
+    assert [report["strict"][k] for k in ("mode", "total_gold", "total_pred", "total_tp")] == ["strict", 2, 2, 1] and list(report["strict"]["per_label"]) == ["DATE", "MONEY", "SECTION_REF"]
+    assert report["strict"]["micro"] == {"precision": 0.5, "recall": 0.5, "f1": 0.5}
     page = pipeline.summary_stage(spark, root)
     assert "<h2>Chunks</h2>" in page and "400–600" in page
     assert files.read_jsonl(spark, f"{root}/nowhere", "chunks", tolerant=True).count() == 0
 
 
+def test_crawl_and_both_branches_of_parse(spark, tmp_path):
+    root = str(tmp_path)
+    page = "<html><title>{0}</title><body><h1>{0}</h1><p>" + "Under Section 5 of the Companies Act, 2013. " * 4 + "</p>{1}</body></html>"
+    body = lambda name, links="": page.format(name, links).encode()
+    empty = "<html><body>" + "<script></script>" * 5 + "</body></html>"
+    site = [
+        ("https://s.org", 200, "text/html", body("Home", "<a href='/b'>b</a><a href='/file.pdf'>f</a><a href='/no/x'>x</a><a href='/js'>j</a><a href='/dl'>d</a><a href='/short'>s</a>"), None),
+        ("https://s.org/b", 404, "text/html", body("B"), None), ("https://s.org/file.pdf", 200, "application/pdf", b"%PDF", None), ("https://s.org/no/x", 200, "text/html", body("X"), None),
+        ("https://s.org/js", 200, "text/html", empty.encode(), body("Rendered").decode()), ("https://s.org/dl", 200, "application/pdf", b"%PDF", None), ("https://s.org/short", 200, "text/html", b"<p>x</p>", None),
+    ]
+    spark.createDataFrame(site, "url string, status int, content_type string, content binary, rendered string").write.parquet(f"{root}/site")
+    spark.createDataFrame([("https://s.org", 0, "*", 0, "/no", False)], "base string, entry int, agent string, ord int, path_prefix string, allow boolean").write.parquet(f"{root}/robots")
+    (tmp_path / "seeds.json").write_text('{"home": "https://s.org/"}')
+    assert pipeline.crawl_stage(spark, root) == 5
+    index = {r.url: r for r in files.read_jsonl(spark, f"{root}/crawl_index", "crawl_index").collect()}
+    assert set(index) == {"https://s.org", "https://s.org/file.pdf", "https://s.org/js", "https://s.org/dl", "https://s.org/short"}
+    assert [u for u, r in index.items() if r.used_js] == ["https://s.org/js"] and index["https://s.org/dl"].path_to_raw.endswith(".pdf")
+    raw = {r.path: bytes(r.content) for r in files.read_raw(spark, f"{root}/raw").collect()}
+    assert raw[index["https://s.org/js"].path_to_raw] == body("Rendered") and raw[index["https://s.org/dl"].path_to_raw] == b"%PDF"
+    rows = []
+    for n in (1, 2):  # the second PDF has no spans: nothing could be read
+        for block, (size, text) in enumerate([(20.0, "Order")] if n == 1 else []):
+            rows.append((index["https://s.org/file.pdf"].path_to_raw, None, 1, 600.0, block, 0, 0, 0, 10.0, 10.0, 90.0, 30.0, size, text))
+        rows += [(index["https://s.org/file.pdf"].path_to_raw, None, n, 600.0, 5 + i, 0, 0, 0, 10.0, 60.0 + i * 20, 90.0, 70.0 + i * 20, 10.0, f"words of page {n} and Section {n}{i} of it") for i in range(4)]
+    schema = "path string, title string, page_no int, page_width double, block_no long, line_no int, span_no int, kind int, x0 double, y0 double, x1 double, y1 double, size double, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/pdf_spans")
+    assert pipeline.main([root, "parse", "chunk", "annotate"]) == {"parse": 3, "chunk": 3, "annotate": 3}
+    docs = {r.url: r for r in files.read_jsonl(spark, f"{root}/normalized_index", "normalized_index").collect()}
+    assert {u: (r.source_type, r.title) for u, r in docs.items()} == {"https://s.org": ("html", "Home"), "https://s.org/js": ("html", "Rendered"), "https://s.org/file.pdf": ("pdf", "Order")}
+    assert all(r.path_to_text == f"normalized/{r.url_hash}.md" and r.url_hash in index[u].path_to_raw for u, r in docs.items())
+    (own,) = [r for r in files.read_jsonl(spark, f"{root}/chunks", "chunks").collect() if r.url.endswith("file.pdf")]
+    assert own.page_no == 1 and own.section_path == ["Order"] and "page 2 and Section 23" in own.text
+
+
 def test_seeds_keep_their_order(spark, tmp_path):
     (tmp_path / "seeds.json").write_text('{"b": "https://b", "a": "https://a"}')
     assert [(r.name, r.url) for r in files.read_seeds(spark, str(tmp_path / "seeds.json")).orderBy("ord").collect()] == [("b", "https://b"), ("a", "https://a")]

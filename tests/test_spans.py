@@ -2,7 +2,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from quillstone.functions import legal
 from quillstone.operators import spans
@@ -80,17 +79,32 @@ def model(candidates):
     return sorted(out, key=lambda c: c[2])
 
 
-def test_resolver_against_a_sequential_model(spark):
+def test_resolver_against_a_sequential_model():
     rng = random.Random(0)
-    rows = []
-    for k in range(150):
+    for _ in range(300):
         own = []
         for i in range(rng.randint(0, 12)):
             s = rng.randint(0, 30)
-            own.append((rng.choice([*legal.LABEL_PRIORITY, "OTHER"]), f"t{i}", s, s + rng.randint(1, 9), i))
-        rows.append((k, own))
-    got = {r.k: [tuple(e) for e in r.e] for r in spark.createDataFrame(rows, f"k int, c {spans.SPANS}").select("k", spans.resolve(F.col("c")).alias("e")).collect()}
-    assert got == {k: model(own) for k, own in rows}
+            own.append((rng.choice([*legal.LABEL_PRIORITY, "OTHER"]), f"t{i}", s, s + rng.randint(1, 9)))
+        assert spans.resolve(own) == model(own)
+
+
+def test_many_candidates_in_one_text(spark):
+    text = "by Section 5(1) of the Companies Act, 2013 on 2020-01-02 " * 20_000
+    (got,) = extract(spark, [text])
+    assert len(got) == 60_000 and got[-1][0] == "DATE"
+
+
+def zeta(text):
+    if "broken" in text:
+        raise RuntimeError("no model")
+    return [m.span() for m in re.finditer(r"Zeta \w+", text)]
+
+
+def test_a_model_adds_organisations(spark):
+    long = "x" * spans.MODEL_CHARS
+    got = extract(spark, ["paid by Zeta Corp to the Reserve Bank of India", "broken Zeta Corp and NCLAT", f"{long} Zeta Corp", None], model=zeta)
+    assert [[e[1] for e in own] for own in got] == [["Zeta Corp", "Reserve Bank of India"], ["NCLAT"], [], []]
 
 
 def test_anchors_lose_no_match():
