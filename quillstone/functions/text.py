@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,11 +52,22 @@ def title_case(s: Column) -> Column:
     return F.array_join(F.transform(parts, F.initcap), "")
 
 
-def clean_markdown(md: Column) -> Column:
+_LINK_ONLY = re.compile(r"^\s*\[([^\]]{1,60})\]\([^)]+\)\s*$", re.M)
+
+
+def clean_lines(md: str) -> str:
     """Blank lines collapsed, then lines that hold one short link only removed, then trailing white space."""
-    s = F.regexp_replace(md, r"\n{3,}", "\n\n")
-    s = F.regexp_replace(s, rf"(?md)^[{SPACE}]*\[([^\]]{{1,60}})\]\([^)]+\)[{SPACE}]*$", "")
-    return strip(F.array_join(F.transform(F.split(s, r"\n"), rstrip), "\n"))
+    md = _LINK_ONLY.sub("", re.sub(r"\n{3,}", "\n\n", md))
+    return "\n".join(x.rstrip() for x in md.splitlines()).strip()
+
+
+def clean_markdown(md: Column) -> Column:
+    """clean_lines() of a column, by an Arrow pass; null stays."""
+
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else clean_lines(t) for t in texts], dtype=object)
+
+    return F.pandas_udf(clean, "string")(md)
 
 
 def clean_pdf_text(s: Column) -> Column:

@@ -16,7 +16,7 @@ from ..operators import pdf as P
 from ..operators import sections as S
 from ..operators import spans as N
 from ..operators import summary
-from ..sources import corpus
+from ..sources import corpus, files
 from . import pipeline
 
 QUERIES: dict = {}
@@ -129,14 +129,15 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
 
 
-@query()
-def page_needs_js(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", H.needs_js(F.col("html"), F.col("url")).alias("needs_js"))
+_BODY = r"regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1)"
 
 
-@query()
-def normalized_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.normalize(read(spark, sf_dir, "pages"))
+@query(rf"""WITH b AS (SELECT page_id, url, html, {_BODY} AS body FROM pages),
+    t AS (SELECT *, {_DEC.format(x="regexp_replace(regexp_replace(body, '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', chr(10), 'g')")} AS said FROM b)
+    SELECT page_id, lower({_PART.format(u='url', i=2)}) IN ({', '.join(f"'{d}'" for d in U.JS_DOMAINS)}) OR (regexp_matches(html, '(?i)<body') AND
+      length(regexp_replace(regexp_replace(said, '\s*\n\s*', '', 'g'), '^\s+|\s+$', '', 'g')) < 500 AND len(regexp_extract_all(body, '(?i)<script[\s>]')) > 3) AS needs_js FROM t""")
+def page_needs_js(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", H.needs_js(F.col("html"), F.col("url")).alias("needs_js"))
 
 
 # --- sections and chunks ----------------------------------------------------------------------------------------------
@@ -165,28 +166,30 @@ def section_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FOLD = rf"""{_BLOCKS},
   b AS (SELECT *, len(list_filter(regexp_split_to_array(block, '\s+'), lambda x: x <> '')) AS w, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM blocks),
   s AS (
-    SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS w, 0 AS items, 1 AS page, 0::BIGINT AS cs, 0::BIGINT AS ce, 1 AS lp, 0::BIGINT AS ls, '' AS path,
-      NULL::STRUCT(w BIGINT, page INT, cs BIGINT, ce BIGINT, path VARCHAR) AS soft, NULL::STRUCT(w BIGINT, page INT, cs BIGINT, ce BIGINT, path VARCHAR) AS hard FROM (SELECT DISTINCT doc_id FROM b)
+    SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS w, 0 AS items, 1 AS page, 0::BIGINT AS cs, 0::BIGINT AS ce, 1 AS lp, 0::BIGINT AS ls, '' AS path, 1::BIGINT AS fb, false AS lead,
+      NULL::STRUCT(w BIGINT, page INT, cs BIGINT, ce BIGINT, path VARCHAR, fb BIGINT, lb BIGINT, lead BOOLEAN) AS soft, NULL::STRUCT(w BIGINT, page INT, cs BIGINT, ce BIGINT, path VARCHAR, fb BIGINT, lb BIGINT, lead BOOLEAN) AS hard FROM (SELECT DISTINCT doc_id FROM b)
     UNION ALL
     SELECT doc_id, i, CASE WHEN over_ THEN least(w2, 56) ELSE w2 END, CASE WHEN over_ THEN 1 ELSE items2 END, CASE WHEN over_ THEN page_no ELSE page2 END, CASE WHEN over_ THEN char_start ELSE cs2 END, char_end,
-      page_no, char_start, path, soft, CASE WHEN over_ THEN {{'w': w2, 'page': page2, 'cs': cs2, 'ce': char_end, 'path': path}} END
+      page_no, char_start, path, CASE WHEN over_ THEN i + 1 ELSE fb2 END, over_ OR lead2, soft, CASE WHEN over_ THEN {{'w': w2, 'page': page2, 'cs': cs2, 'ce': char_end, 'path': path, 'fb': fb2, 'lb': i, 'lead': lead2}} END
     FROM (SELECT *, greatest(1, CAST(floor(w2 / 0.75) AS INT)) >= 900 AS over_ FROM (
-      SELECT doc_id, i, page_no, char_start, char_end, path, CASE WHEN f THEN {{'w': sw, 'page': spage, 'cs': scs, 'ce': sce, 'path': spath}} END AS soft,
+      SELECT doc_id, i, page_no, char_start, char_end, path, CASE WHEN f THEN {{'w': sw, 'page': spage, 'cs': scs, 'ce': sce, 'path': spath, 'fb': sfb, 'lb': i - 1, 'lead': slead}} END AS soft, CASE WHEN f OR sitems = 0 THEN i ELSE sfb END AS fb2, f OR slead AS lead2,
         CASE WHEN f THEN least(sw, 56) ELSE sw END + bw AS w2, CASE WHEN f THEN 1 ELSE sitems END + 1 AS items2,
         CASE WHEN f THEN slp WHEN sitems = 0 THEN page_no ELSE spage END AS page2, CASE WHEN f THEN sls WHEN sitems = 0 THEN char_start ELSE scs END AS cs2
-      FROM (SELECT b.doc_id, b.i, b.page_no, b.char_start, b.char_end, b.path, b.w AS bw, s.w AS sw, s.items AS sitems, s.page AS spage, s.cs AS scs, s.ce AS sce, s.lp AS slp, s.ls AS sls, s.path AS spath,
+      FROM (SELECT b.doc_id, b.i, b.page_no, b.char_start, b.char_end, b.path, b.w AS bw, s.w AS sw, s.items AS sitems, s.page AS spage, s.cs AS scs, s.ce AS sce, s.lp AS slp, s.ls AS sls, s.path AS spath, s.fb AS sfb, s.lead AS slead,
           s.items > 0 AND s.path <> b.path AND greatest(1, CAST(floor(s.w / 0.75) AS INT)) >= 400 AS f FROM s JOIN b ON s.doc_id = b.doc_id AND b.i = s.i + 1)))),
   e AS (SELECT doc_id, i, 0 AS k, soft AS c FROM s WHERE soft IS NOT NULL UNION ALL SELECT doc_id, i, 1, hard FROM s WHERE hard IS NOT NULL
-    UNION ALL SELECT doc_id, i, 2, {{'w': w, 'page': page, 'cs': cs, 'ce': ce, 'path': path}} FROM s WHERE items > 0 AND i = (SELECT max(i) FROM b WHERE b.doc_id = s.doc_id)),
+    UNION ALL SELECT doc_id, i, 2, {{'w': w, 'page': page, 'cs': cs, 'ce': ce, 'path': path, 'fb': fb, 'lb': i, 'lead': lead}} FROM s WHERE items > 0 AND i = (SELECT max(i) FROM b WHERE b.doc_id = s.doc_id)),
   chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, k) AS n, c.path AS section_path, CAST(c.page AS BIGINT) AS page_no, c.cs AS char_start, c.ce AS char_end,
-    CAST(greatest(1, floor(c.w / 0.75)) AS BIGINT) AS token_estimate FROM e)"""
+    CAST(greatest(1, floor(c.w / 0.75)) AS BIGINT) AS token_estimate, array_to_string(list_concat(CASE WHEN c.lead THEN
+      [array_to_string(list_filter(regexp_split_to_array(array_to_string(bl[greatest(1, c.fb - 56):c.fb - 1], ' '), '\s+'), lambda x: x <> '')[-56:], ' ')] ELSE [] END, bl[c.fb:c.lb]), ' ') AS text
+    FROM e JOIN (SELECT doc_id, list(block ORDER BY i) AS bl FROM b GROUP BY doc_id) AS own USING (doc_id))"""
 _FOLD = _FOLD.replace("md AS (", "md AS MATERIALIZED (", 1).replace("  b AS (", "  b AS MATERIALIZED (", 1)
 
 
-@query(f"WITH RECURSIVE {_FOLD} SELECT doc_id, n, section_path, page_no, char_start, char_end, token_estimate FROM chunks")
+@query(f"WITH RECURSIVE {_FOLD} SELECT doc_id, n, section_path, page_no, char_start, char_end, token_estimate, md5(text) AS text_md5 FROM chunks")
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = C.chunk(corpus.markdown(spark, sf_dir), "doc_id")
-    return own.select("doc_id", *long("n"), F.array_join("section_path", " > ").alias("section_path"), *long("page_no", "char_start", "char_end", "token_estimate"))
+    return own.select("doc_id", *long("n"), F.array_join("section_path", " > ").alias("section_path"), *long("page_no", "char_start", "char_end", "token_estimate"), F.md5("chunk_text").alias("text_md5"))
 
 
 @query(f"WITH RECURSIVE {_FOLD} SELECT count(*) AS chunks, round(avg(token_estimate), 6) AS avg_tokens FROM chunks")
@@ -264,7 +267,9 @@ def eval_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'macro' AS scope, round(avg(precision), 4) AS precision, round(avg(recall), 4) AS recall, round(avg(f1), 4) AS f1 FROM r
     UNION ALL SELECT 'micro', round(tp / np, 4), round(tp / ng, 4), round(2 * (tp / np) * (tp / ng) / (tp / np + tp / ng), 4) FROM t""")
 def eval_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred, gold = _resolved(spark, sf_dir).persist(), _faulty(spark, sf_dir)  # read twice
+    path = files.scratch(spark, "entities")  # read twice
+    _resolved(spark, sf_dir).write.parquet(path)
+    pred, gold = spark.read.parquet(path), _faulty(spark, sf_dir)
     scored = E.scores(E.strict_counts(pred, gold, "sid"))
     return E.averages(scored, pred.agg(F.count("*").alias("n")), gold.agg(F.count("*").alias("n")))
 
@@ -300,18 +305,16 @@ def pdf_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- crawl ------------------------------------------------------------------------------------------------------------
 
-QUOTA = 20
-
-
-def _crawl_sql() -> str:
+def _crawl_sql(extra: str = "", allowed: str = "true") -> str:
+    """The crawl in SQL; extra: further tables, allowed: a condition on url."""
     dom = "lower(regexp_extract({u}, '^[^:]+://([^/]*)', 1))"
-    out = [f"lk AS ({corpus.LINKS}), st AS ({corpus.SITE}), c0 AS (SELECT url, ord, {dom.format(u='url')} AS d FROM ({corpus.SEEDS}) AS sd)"]
+    out = [f"lk AS ({corpus.LINKS}), st AS ({corpus.SITE}), c0 AS (SELECT url, ord, {dom.format(u='url')} AS d FROM ({corpus.SEEDS}) AS sd){extra}"]
     for k in range(4):
         seen = " UNION ALL ".join(f"SELECT url FROM t{j}" for j in range(k)) or "SELECT NULL AS url WHERE false"
         used = " UNION ALL ".join(f"SELECT d FROM t{j} WHERE ok" for j in range(k)) or "SELECT NULL AS d WHERE false"
-        out.append(f"""f{k} AS (SELECT url, min(ord) AS ord, min(d) AS d FROM c{k} WHERE url NOT IN ({seen}) GROUP BY url),
+        out.append(f"""f{k} AS (SELECT url, min(ord) AS ord, min(d) AS d FROM c{k} WHERE url NOT IN ({seen}) AND {allowed} GROUP BY url),
           q{k} AS (SELECT f{k}.*, status, content_type, coalesce(status = 200 OR (NOT lower(f{k}.url) LIKE '%.pdf' AND status < 400), false) AS ok FROM f{k} LEFT JOIN st USING (url)),
-          t{k} AS (SELECT * FROM (SELECT *, coalesce(sum(CAST(ok AS INT)) OVER (PARTITION BY d ORDER BY ord, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (SELECT count(*) FROM ({used}) AS us WHERE us.d = q{k}.d) AS before FROM q{k}) WHERE before < {QUOTA})""")
+          t{k} AS (SELECT * FROM (SELECT *, coalesce(sum(CAST(ok AS INT)) OVER (PARTITION BY d ORDER BY ord, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (SELECT count(*) FROM ({used}) AS us WHERE us.d = q{k}.d) AS before FROM q{k}) WHERE before < {K.MAX_PAGES})""")
         if k < 3:
             out.append(f"""c{k + 1} AS (SELECT link AS url, row_number() OVER (PARTITION BY d ORDER BY ord, CASE WHEN lower(link) LIKE '%.pdf' THEN 0 ELSE 1 END, pos, link) AS ord, d FROM t{k} JOIN lk ON src = url
               WHERE ok AND NOT lower(url) LIKE '%.pdf' AND content_type <> 'application/pdf' AND {dom.format(u='link')} = d)""")
@@ -319,9 +322,9 @@ def _crawl_sql() -> str:
     return f"WITH {', '.join(out)} SELECT url, CAST(depth AS BIGINT) AS depth, seed_dom, CAST(status AS BIGINT) AS status, content_type FROM ({every}) AS every_level"
 
 
-def _crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _crawled(spark: SparkSession, sf_dir: str, robots: DataFrame | None = None) -> DataFrame:
     seeds, links, pages = corpus.site(spark, sf_dir)
-    return K.crawl(seeds, links, pages, max_pages=QUOTA)
+    return K.crawl(seeds, links, pages, robots)
 
 
 @query(_crawl_sql())
@@ -329,6 +332,17 @@ def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _crawled(spark, sf_dir).select("url", *long("depth"), "seed_dom", *long("status"), "content_type")
 
 
+_ROBOTS_SQL = f""", ro AS (SELECT * FROM (VALUES {", ".join(map(str, corpus.ROBOTS))}) AS v(base, entry, agent, ord, path_prefix, allow) WHERE agent = '*' OR contains('{K.AGENT.split("/")[0]}', lower(agent))),
+    rg AS (SELECT base, path_prefix, allow, ord FROM ro QUALIFY entry = first_value(entry) OVER (PARTITION BY base ORDER BY agent = '*', entry))"""
+_ALLOWED = "coalesce((SELECT arg_min(allow, ord) FROM rg WHERE starts_with(url, base || path_prefix)), true)"
+
+
+@query(_crawl_sql(_ROBOTS_SQL, _ALLOWED))
+def crawl_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(corpus.ROBOTS), "base string, entry int, agent string, ord int, path_prefix string, allow boolean")
+    return _crawled(spark, sf_dir, rules).select("url", *long("depth"), "seed_dom", *long("status"), "content_type")
+
+
 @query(f"""WITH i AS ({_crawl_sql()}) SELECT count(*) AS pages, count(*) FILTER (content_type <> 'application/pdf' AND NOT lower(url) LIKE '%.pdf') AS html,
     count(*) FILTER (content_type = 'application/pdf' OR lower(url) LIKE '%.pdf') AS pdf, 0 AS js, count(*) FILTER (content_type <> 'application/pdf' AND NOT lower(url) LIKE '%.pdf') AS static_html FROM i""")
 def crawl_composition(spark: SparkSession, sf_dir: str) -> DataFrame:

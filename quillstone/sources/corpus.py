@@ -53,7 +53,14 @@ _URL = "'https://d' || CAST({k} % 7 AS STRING) || '.example.org/p/' || CAST({k}
 SITE = f"""SELECT {_URL.format(k='c_custkey')} AS url, CAST(CASE c_custkey % 11 WHEN 0 THEN 404 WHEN 5 THEN 500 ELSE 200 END AS INT) AS status,
     CASE WHEN c_custkey % 10 = 3 THEN 'application/pdf' ELSE 'text/html' END AS content_type, c_custkey AS k FROM customer"""
 LINKS = " UNION ALL ".join(f"SELECT {_URL.format(k='c_custkey')} AS src, {pos} AS pos, {_URL.format(k=f'({to})')} AS link FROM customer" for pos, to in enumerate(("c_custkey + 7", "c_custkey * 8", "c_custkey + 21", "c_custkey * 2", "c_custkey * 15")))
-SEEDS = f"SELECT {_URL.format(k='c_custkey')} AS url, c_custkey AS ord FROM customer WHERE c_custkey BETWEEN 1 AND 7"
+SEEDS = f"SELECT {_URL.format(k='c_custkey')} AS url, c_custkey AS ord FROM customer WHERE c_custkey % 97 = 1"
+
+
+#: Rules for robots of the made-up sites: base, entry, agent, ord, path_prefix, allow.
+ROBOTS = (
+    ("https://d1.example.org", 0, "*", 0, "/p/1", False), ("https://d2.example.org", 0, "*", 0, "/p/20", True), ("https://d2.example.org", 0, "*", 1, "/p/2", False),
+    ("https://d3.example.org", 0, "*", 0, "/", False), ("https://d3.example.org", 1, "Quill", 0, "/p/3", False), ("https://d4.example.org", 0, "another", 0, "/", False),
+)
 
 
 def spread(scan: DataFrame) -> DataFrame:
