@@ -86,10 +86,17 @@ Gift Tax Act, 1958
 Interest Tax Act, 1974
 Expenditure Tax Act, 1987
 Smugglers and Foreign Exchange Manipulators (Forfeiture of Property) Act, 1976
+Finance Act, 2017
+Finance Act, 2018
+Finance Act, 2019
+Finance Act, 2020
+Finance Act, 2021
+Finance Act, 2022
+Finance Act, 2023
+Finance Act, 2024
+Finance Act, 2025
 """.strip().split("\n")
 
-ACTS += [f"Finance Act, {year}" for year in range(2017, 2026)]
-
 RULES = """
 Income-tax Rules, 1962
 Income Tax Rules, 1962
@@ -106,35 +113,40 @@ Transfer Pricing Safe Harbour Rules
 Advance Pricing Agreement Rules
 """.strip().split("\n")
 
-HIGH_COURTS = """
-Delhi
-Bombay
-Madras
-Calcutta
-Allahabad
-Karnataka
-Gujarat
-Rajasthan
-Kerala
-Andhra Pradesh
-Telangana
-Patna
-Punjab and Haryana
-Gauhati
-Orissa
-Uttarakhand
-Jharkhand
-Chhattisgarh
-Himachal Pradesh
-Tripura
-Meghalaya
-Manipur
-Sikkim
+COURTS = """
+Supreme Court of India
+Delhi High Court
+Bombay High Court
+Madras High Court
+Calcutta High Court
+Allahabad High Court
+Karnataka High Court
+Gujarat High Court
+Rajasthan High Court
+Kerala High Court
+Andhra Pradesh High Court
+Telangana High Court
+Patna High Court
+Punjab and Haryana High Court
+Gauhati High Court
+Orissa High Court
+Uttarakhand High Court
+Jharkhand High Court
+Chhattisgarh High Court
+Himachal Pradesh High Court
+Tripura High Court
+Meghalaya High Court
+Manipur High Court
+Sikkim High Court
+High Court of Delhi
+High Court of Bombay
+High Court of Madras
+High Court of Calcutta
+High Court of Allahabad
+High Court of Karnataka
+High Court of Gujarat
 """.strip().split("\n")
 
-#: The first seven are also known as "High Court of ...".
-COURTS = ["Supreme Court of India", *(f"{x} High Court" for x in HIGH_COURTS), *(f"High Court of {x}" for x in HIGH_COURTS[:7])]
-
 TRIBUNALS = """
 Income Tax Appellate Tribunal
 ITAT
