@@ -142,7 +142,7 @@ def page_needs_js(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sections and chunks ----------------------------------------------------------------------------------------------
 
-_MARKDOWN = f"md AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY sid) AS text FROM ({corpus.MARKDOWN_LINES}) AS m GROUP BY doc_id)"
+_MARKDOWN = f"md AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY sid, line) AS text FROM ({corpus.MARKDOWN_LINES}) AS m GROUP BY doc_id)"
 _HEAD = r"'^(#{1,4})\s+(.+)$'"
 _BLOCKS = rf"""{_MARKDOWN},
   parts AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM md),

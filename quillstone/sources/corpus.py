@@ -53,7 +53,7 @@ _URL = "'https://d' || CAST({k} % 7 AS STRING) || '.example.org/p/' || CAST({k}
 SITE = f"""SELECT {_URL.format(k='c_custkey')} AS url, CAST(CASE c_custkey % 11 WHEN 0 THEN 404 WHEN 5 THEN 500 ELSE 200 END AS INT) AS status,
     CASE WHEN c_custkey % 10 = 3 THEN 'application/pdf' ELSE 'text/html' END AS content_type, c_custkey AS k FROM customer"""
 LINKS = " UNION ALL ".join(f"SELECT {_URL.format(k='c_custkey')} AS src, {pos} AS pos, {_URL.format(k=f'({to})')} AS link FROM customer" for pos, to in enumerate(("c_custkey + 7", "c_custkey * 8", "c_custkey + 21", "c_custkey * 2", "c_custkey * 15")))
-SEEDS = f"SELECT {_URL.format(k='c_custkey')} AS url, c_custkey AS ord FROM customer WHERE c_custkey % 97 = 1"
+SEEDS = f"SELECT {_URL.format(k='c_custkey')} AS url, c_custkey AS ord FROM (SELECT min(c_custkey) AS c_custkey FROM customer GROUP BY c_custkey % 7) AS firsts"
 
 
 #: Rules for robots of the made-up sites: base, entry, agent, ord, path_prefix, allow.
@@ -104,3 +104,33 @@ def site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     """Seeds, links and pages of a made-up site of sites."""
     views(spark, sf_dir, ("customer",))
     return spark.sql(SEEDS).withColumn("name", F.col("url")), spark.sql(LINKS), spark.sql(SITE).drop("k")
+
+
+#: A text's reference by label; {n} is a number. Each is found whole, by the rule named.
+CASES = (
+    ("const_article", "SECTION_REF", "Article {n}(1) of the Constitution"), ("clause_subsec_sec", "SECTION_REF", "Clause (c) of Sub-section (4) of Section {n}A"), ("clause_sec", "SECTION_REF", "Clause (d) of Section {n}(2)"),
+    ("proviso_sec", "SECTION_REF", "second proviso to Section {n}"), ("explanation_sec", "SECTION_REF", "Explanation 3 to Section {n}(2)"), ("subsec_sec", "SECTION_REF", "Sub-section (2) of Section {n}"),
+    ("order_rule", "SECTION_REF", "Order V Rule {n}"), ("schedule", "SECTION_REF", "Second Schedule to the Act"), ("sec_with_sub", "SECTION_REF", "Section {n}(4)(c)"), ("sec_plain", "SECTION_REF", "Section {n}"),
+    ("rule_plain", "SECTION_REF", "Rule {n}"), ("chapter", "SECTION_REF", "Chapter {n}"), ("para", "SECTION_REF", "para {n}"),
+    ("so", "NOTIFICATION", "S.O. {n}(E)"), ("gsr", "NOTIFICATION", "G.S.R. {n}"), ("circular", "NOTIFICATION", "Circular No. {n} of 2018"), ("instruction", "NOTIFICATION", "Instruction No {n}/2020"),
+    ("letter", "NOTIFICATION", "Letter No. {n}/x dated"), ("fno", "NOTIFICATION", "F. No. {n}/3-TPL"), ("press", "NOTIFICATION", "Press Release No. {n}/2"), ("notif_no", "NOTIFICATION", "Notification No. {n}/2020"),
+    ("order_no", "NOTIFICATION", "Order No. {n}/AB"), ("cbdt_ref", "NOTIFICATION", "CBIC Notification No. {n}/2021"),
+    ("wef", "DATE", "w.e.f 1.4.2020"), ("iso", "DATE", "2021-12-31"), ("dd_mm_yyyy_dash", "DATE", "1-2-2020"), ("dd_mm_yyyy_slash", "DATE", "01/02/2020"), ("dd_mm_yyyy_dot", "DATE", "1.12.2020"),
+    ("dd_month_yyyy", "DATE", "3rd May 2011"), ("month_dd_yyyy", "DATE", "May 3, 2011"), ("month_year", "DATE", "June, 2015"), ("fy", "DATE", "F.Y. 2019-20"), ("ay", "DATE", "AY 2020-21"),
+    ("inr_crore_lakh", "MONEY", "INR {n} Crore"), ("crore_lakh_words", "MONEY", "Rs {n}.5 lakh"), ("numeral_crore", "MONEY", "{n}.25 Lakh rupee"), ("usd", "MONEY", "USD {n}.50"), ("eur", "MONEY", "EUR {n}"), ("gbp", "MONEY", "GBP {n}"),
+    ("rupee_sym", "MONEY", "₹{n}"), ("rs_plain", "MONEY", "Rs. {n}"),
+)
+
+
+def cases_sql(cases: list[tuple[str, str]]) -> str:
+    """Cases (label, template) by the parts' keys: pid, label, span_text, text; the span begins at 9. Each is in the text twice."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {quoted(label)}, {quoted(text)})" for i, (label, text) in enumerate(cases))
+    return f"""SELECT p_partkey AS pid, label, span, 'it says ' || span || ' while ' || span || ' in part.' AS text
+        FROM (SELECT p_partkey, label, replace(template, '{{n}}', CAST(p_partkey % 300 + 1 AS STRING)) AS span FROM part JOIN (SELECT * FROM (VALUES {values}) AS v(i, label, template)) AS c ON p_partkey % {len(cases)} = i) AS x"""
+
+
+def cases(spark: SparkSession, sf_dir: str, own: list[tuple[str, str]]) -> DataFrame:
+    views(spark, sf_dir, ("part",))
+    escaped = cases_sql(own).replace("''", "\\'")
+    return spark.sql(escaped)

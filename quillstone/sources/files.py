@@ -42,9 +42,9 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.posexplode(pairs).alias("ord", "e")).select(F.col("e.key").alias("name"), F.col("e.value").alias("url"), "ord")
 
 
-def read_html(spark: SparkSession, path: str) -> DataFrame:
+def read_html(spark: SparkSession, path: str, names: str = "*.html") -> DataFrame:
     """path, html of the pages under a folder; invalid UTF-8 is replaced."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
