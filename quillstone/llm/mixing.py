@@ -82,7 +82,7 @@ def targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
     return s.select("source", "source_size", "knots", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
+def placed(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken, position, positions) for each row of docs, and the columns in keep.
 
     weights maps (source, source_size) to (source, source_size, knots). In the source's shuffled order, fixed by seed and
@@ -121,8 +121,13 @@ def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int
     due = lambda c: F.coalesce(F.try_divide((c * F.col("source_size") + start) * F.col("weight"), F.col("target")), F.lit(0.0))
     positions = F.transform(passes, lambda c: invert(F.col("knots"), due(c)))
     out = ran.select("doc_id", "source", *[c for c in keep or [] if c not in ("doc_id", "source")], "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), positions.alias("positions"))
-    out = out.withColumn("position", F.get("positions", F.lit(0)))
-    return out.repartitionByRange("position").sortWithinPartitions("position", "doc_id")
+    return out.withColumn("position", F.get("positions", F.lit(0)))
+
+
+def mix(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17, keep: list[str] | None = None) -> DataFrame:
+    """placed(), range-sorted by position; ids split the ranges of equal positions and of documents that are not taken."""
+    out = placed(docs, weights, most, seed, keep)
+    return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
 def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed: int = 17) -> DataFrame:
@@ -133,7 +138,7 @@ def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed:
     """
     word_hash = F.xxhash64("text")
     keys = docs.select("doc_id", "source", "text", word_hash.alias("_text"))
-    mixed = mix(keys, weights, most, seed, keep=["_text"])
+    mixed = placed(keys, weights, most, seed, keep=["_text"])
     # without words: once, at the beginning
     at = F.when(F.col("size") > 0, F.col("positions")).otherwise(F.array(F.coalesce("position", F.lit(0.0))))
     mixed = mixed.select("doc_id", "_text", at.alias("at")).groupBy("doc_id", "_text").agg(F.min(F.struct(F.size("at").alias("n"), "at")).alias("m"))
@@ -141,4 +146,4 @@ def resample(docs: DataFrame, weights=contract_weights, most: float = 3.0, seed:
     mixed = materialize(mixed, "mixed")
     out = docs.withColumn("_text", word_hash).join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
     out = out.withColumn("_position", F.explode("_positions"))
-    return out.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)
+    return out.repartitionByRange("_position", "doc_id").sortWithinPartitions("_position", "doc_id").select(*docs.columns)
