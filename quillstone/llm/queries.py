@@ -169,6 +169,44 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def simhash_sql() -> str:
+    """SimHash in SQL, XXH64 written out in 128-bit arithmetic, links by comparing all distinct fingerprints."""
+    p1, p2, p3, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    wrap = lambda x: f"(({x}) % 18446744073709551616::UHUGEINT)"
+    mul = lambda x, p: wrap(f"{x} * {p}::UHUGEINT")
+    rotl = lambda x, r: f"({wrap(f'{x} * {1 << r}::UHUGEINT')} + {x} // {1 << (64 - r)}::UHUGEINT)"
+    lane = lambda at, n: f"CAST('0x' || {' || '.join(f'substr(x, 2 * ({at}) + {2 * i + 1}, 2)' for i in reversed(range(n)))} AS UBIGINT)::UHUGEINT"
+    each = lambda f: f"list_transform(ls, lambda l: {f})"
+    start = {1: (42 + p1 + p2) % 2**64, 2: (42 + p2) % 2**64, 3: 42, 4: (42 - p1) % 2**64}
+    # lanes of whole stripes by accumulator, each lane already times the second prime
+    stripe = lambda k: f"list_reduce(list_transform(range(0, n // 32), lambda j: {mul(lane(f'32 * j + {8 * (k - 1)}', 8), p2)}), lambda a, l: {mul(rotl(wrap('a + l'), 31), p1)}, {start[k]}::UHUGEINT)"
+    merged = lambda k: f"{wrap(mul(f'xor(h, {mul(rotl(mul(f'v{k}', p2), 31), p1)})', p1) + f' + {p4}::UHUGEINT')} AS h"
+    bits = ", ".join(f"sum(c * ((h >> {b}) & 1)) AS b{b}" for b in range(64))
+    packed = " + ".join(f"CASE WHEN 2 * b{b} > n THEN {1 << b}::UHUGEINT ELSE 0 END" for b in range(64))
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM documents),
+s AS (SELECT doc_id, shingle, count(*) AS c FROM (SELECT doc_id, array_to_string(ws[i:i + 2], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)) GROUP BY ALL),
+x0 AS (SELECT shingle, hex(encode(shingle)) AS x, length(hex(encode(shingle))) // 2 AS n FROM (SELECT DISTINCT shingle FROM s)),
+x1 AS (SELECT *, {', '.join(f"CASE WHEN n >= 32 THEN {stripe(k)} END AS v{k}" for k in (1, 2, 3, 4))} FROM x0),
+x2 AS (SELECT *, CASE WHEN n >= 32 THEN {wrap(' + '.join(rotl(f'v{k}', r) for k, r in ((1, 1), (2, 7), (3, 12), (4, 18))))} END AS h FROM x1),
+x3 AS (SELECT * REPLACE ({merged(1)}) FROM x2), x4 AS (SELECT * REPLACE ({merged(2)}) FROM x3), x5 AS (SELECT * REPLACE ({merged(3)}) FROM x4), x6 AS (SELECT * REPLACE ({merged(4)}) FROM x5),
+y0 AS (SELECT shingle, x, n, {wrap(f'coalesce(h, {(42 + p5) % 2**64}::UHUGEINT) + CAST(n AS UHUGEINT)')} AS h, list_transform(range(n // 32 * 32, n - 7, 8), lambda j: {mul(lane('j', 8), p2)}) AS ls FROM x6),
+y1 AS (SELECT * REPLACE ({each(mul(rotl('l', 31), p1))} AS ls) FROM y0),
+y2 AS (SELECT * REPLACE (list_reduce(ls, lambda a, l: {wrap(mul(rotl('xor(a, l)', 27), p1) + f' + {p4}::UHUGEINT')}, h) AS h) FROM y1),
+y3 AS (SELECT * REPLACE (CASE WHEN n % 8 >= 4 THEN xor(h, {mul(lane('n // 8 * 8', 4), p1)}) ELSE h END AS h) FROM y2),
+y4 AS (SELECT * REPLACE (CASE WHEN n % 8 >= 4 THEN {wrap(mul(rotl('h', 23), p2) + f' + {p3}::UHUGEINT')} ELSE h END AS h) FROM y3),
+y5 AS (SELECT * REPLACE (list_reduce(list_transform(range(n // 4 * 4, n), lambda j: {mul(lane('j', 1), p5)}), lambda a, l: {mul(rotl('xor(a, l)', 11), p1)}, h) AS h) FROM y4),
+z0 AS (SELECT shingle, {mul('xor(h, h // 8589934592::UHUGEINT)', p2)} AS h FROM y5), z1 AS (SELECT shingle, {mul('xor(h, h // 536870912::UHUGEINT)', p3)} AS h FROM z0),
+z AS (SELECT shingle, CAST(xor(h, h // 4294967296::UHUGEINT) AS UBIGINT) AS h FROM z1),
+b AS (SELECT doc_id, sum(c) AS n, {bits} FROM s JOIN z USING (shingle) GROUP BY doc_id),
+f AS (SELECT doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM w LEFT JOIN (SELECT doc_id, CAST({packed} AS UBIGINT) AS fp FROM b) USING (doc_id)),
+d AS (SELECT fp, min(doc_id) AS least FROM f GROUP BY fp),
+l AS (SELECT a.fp AS a, b.fp AS b FROM d AS a JOIN d AS b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {simhash.RADIUS}),
+r AS (SELECT fp, least AS c FROM d UNION SELECT l.b, r.c FROM r JOIN l ON r.fp = l.a)
+SELECT doc_id, lpad(lower(to_hex(fp)), 16, '0') AS fingerprint, c AS component_id FROM f JOIN (SELECT fp, min(c) AS c FROM r GROUP BY fp) USING (fp)
+"""
+
+
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -206,4 +244,4 @@ QUERIES = {
         op6_substring_dedup, op7_pii, op8_best_fit_packing, op9_simhash, op10_imatch,
     )
 }
-ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6, "op7_pii": SQL7, "op10_imatch": imatch_sql()}
+ORACLE_SQL = {"op2_chat_formatting": SQL2, "op3_license_scan": licenses_sql(), "op4_embedding_dedup": SQL4, "op5_source_mixing": SQL5, "op6_substring_dedup": SQL6, "op7_pii": SQL7, "op9_simhash": simhash_sql(), "op10_imatch": imatch_sql()}
