@@ -32,13 +32,32 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables."""
+    return f"{shared_dir(spark)}/quillstone-{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables that operators have written in this application, whose results must not be read afterwards.
+
+    Operators delete what only their rounds need; a result may read the rest. For long sessions, between jobs.
+    """
+    _delete(spark, own_dir(spark))
+
+
 def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """df written as Parquet to the shared folder and read again.
 
-    It cuts the lineage: a lost executor costs a read of this table, not a second run of what made it.
+    It cuts the lineage: a lost executor costs a read of this table, not a second run of what made it. The table stays
+    until forget() or release().
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quillstone-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path).withMetadata(df.columns[0], {"path": path})
 
@@ -47,9 +66,7 @@ def forget(df: DataFrame) -> None:
     """Deletes the table that materialize() wrote for df, which must not be read afterwards."""
     path = next((f.metadata["path"] for f in df.schema.fields if "path" in (f.metadata or {})), None)
     if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Rows of a sorted range; up to so many ranges their ends are broadcast.
@@ -154,7 +154,7 @@ def assign(pieces: DataFrame, most: int = 1024) -> DataFrame:
         raise ValueError("a piece's length is outside 1..most")
     left = rows.where(F.col("length") < most).select(F.col("_uid").alias("uid"), F.col("length").cast("long").alias("len"))
     gaps = spark.createDataFrame([], "seq long, free long")
-    placed, opened, n_gaps, widest = [], 0, 0, 0
+    placed, opened, n_gaps, widest, swept = [], 0, 0, 0, None
     while True:
         big = F.col("len") > widest
         sums = left.agg(
@@ -166,6 +166,7 @@ def assign(pieces: DataFrame, most: int = 1024) -> DataFrame:
         if new := max(-(-sums["big"] // most), sums["halves"]):
             gaps = gaps.unionByName(spark.range(opened, opened + new).select(F.col("id").alias("seq"), F.lit(most).cast("long").alias("free")))
             opened, n_gaps = opened + new, n_gaps + new
+        before, last = swept, gaps
         gaps = gaps.where(F.col("free") >= sums["least"])
         swept = sweep(left, gaps, sums["longest"], sums["n"], n_gaps)
         found = materialize(matches(swept, most), "placed")
@@ -174,7 +175,13 @@ def assign(pieces: DataFrame, most: int = 1024) -> DataFrame:
         gaps = materialize(gaps.join(used, "seq", "left").select("seq", (F.col("free") - F.coalesce("used", F.lit(0))).alias("free")).where("free > 0"), "gaps")
         state = gaps.agg(F.count("*").alias("n"), F.coalesce(F.max("free"), F.lit(0)).alias("widest")).first()
         n_gaps, widest = state["n"], state["widest"]
+        for old in (before, last):  # what this round began with
+            if old is not None:
+                forget(old)
         left = swept.where("kind = 1 and depth = 0").select(F.col("id").alias("uid"), F.col("size").alias("len"))
+    if swept is not None:
+        forget(swept)
+        forget(gaps)
     every = rows.where(F.col("length") == most).select(F.col("_uid").alias("uid"), (-1 - F.col("_uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for found in placed:
         every = every.unionByName(found.select("uid", F.col("seq").alias("sequence_id"), "offset"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillstone.llm import packing
+from quillstone.llm import common, packing
 from quillstone.llm.queries import tokenizer_path
 
 
@@ -111,3 +111,15 @@ def test_empty_table(none):
 def test_other_columns_stay(docs):
     pieces = packing.pieces(docs, tokenizer_path()).withColumn("size", F.lit(1))
     assert packing.assign(pieces).columns == [*pieces.columns, "sequence_id", "offset"]
+
+
+def test_rounds_leave_nothing_but_their_result(spark):
+    import glob
+
+    left = lambda: {p.rsplit("/", 1)[1].split("-")[0] for p in glob.glob(f"{common.own_dir(spark)}/*")}
+    common.release(spark)
+    pieces = spark.createDataFrame([(i, 1 + i * 37 % 900) for i in range(400)], "doc_id long, length long")
+    out = packing.assign(pieces)
+    assert left() == {"pieces", "placed"} and out.count() == 400
+    common.release(spark)
+    assert left() == set()
