@@ -85,7 +85,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, margin: float |
     n_links counts the other rows with an equal label and a cosine of at least threshold; component_id is the least
     vec_id reachable. Equal vectors of one label enter the search once, with their number. Rows that cannot link (see
     usable()) have no links and are kept. Vectors of other lengths than the sample's most common one never reach the
-    threshold with those and are compared apart. Repeated rows are rows of their own. Other columns are not read.
+    threshold with those and are compared apart. Repeated rows are rows of their own. Other columns are not read; an
+    empty table gives an empty one.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
     good = rows.where(usable())

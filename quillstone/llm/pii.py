@@ -256,7 +256,11 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """op7's digest columns for each row of docs."""
+    """op7's digest columns for each row of docs.
+
+    Null text is empty and has nothing; equal rows have equal spans; long texts are searched whole. Other columns are not
+    read, so that their names may clash with the result's; an empty table gives an empty one.
+    """
     found = spans(docs)
     terms = F.array_join(F.transform("terms", lambda t: F.concat(F.lit("term:"), t.start, F.lit(":"), t.stop)), ",")
     everything = F.concat_ws(",", F.nullif("base", F.lit("")), F.nullif(terms, F.lit("")))

@@ -125,7 +125,7 @@ def representatives(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def window_digests(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """96 bits for each window: a long and an int."""
+    """95 bits for each window: 64 and 31."""
     return window_hashes(h, 0).view(np.int64), (window_hashes(h, 1) >> np.uint64(33)).astype(np.int64)
 
 
@@ -252,9 +252,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, removed) for each row of docs; removed: (start, stop) in words.
 
     A word is removed if a window of 13 words covers it that also starts in a document with a smaller doc_id, as the
-    documents came. Rows that share an id are not smaller than each other; null ids are larger than all others; null
-    text has no words, a text of fewer than 13 words keeps them. Whole texts that a smaller id has as well are known by
-    their hash and take no part in the search. Other columns are not read.
+    documents came. Rows that share an id are not smaller than each other; null ids are larger than all others, ids
+    less than 2**63 - 1; null text has no words, a text of fewer than 13 words keeps them. Whole texts that a smaller id
+    has as well are known by their hash and take no part in the search; long texts are cut into overlapping parts. Other
+    columns are not read, so that their names may clash with the result's; an empty table gives an empty one.
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     ids = materialize(texts.select("doc", F.xxhash64("text").alias("text_hash"), F.unhex(F.md5("text")).alias("md"), F.length("text").alias("chars")), "ids")
