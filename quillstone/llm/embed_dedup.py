@@ -1,15 +1,16 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells, one representative for a group.
 
-A vector is compared in its home cell, that of the nearest centre. Vectors of other cells that may have a neighbour there
-are copied into it: those whose distance to the plane between the two centres is at most a margin. With
-margin = sin(acos(threshold)), the default, no link can be lost, whatever the data. How many cells there are is chosen by
-the estimated work: where the margin copies vectors to most cells, few or one are less work. The result does not depend on it.
+All vectors of a label and length begin as one cell. A large cell is split by centres fitted on a sample of it, its parts
+again, level by level, so that the number of cells grows with the table. A vector is compared in its home cell, that of the
+nearest centres. Vectors of other cells that may have a neighbour there are copied into it: those whose distance to the
+plane between the two centres is at most a margin. With margin = sin(acos(threshold)), the default, no link can be lost,
+whatever the data. Whether a cell is split, and into how many, is chosen by the estimated work: where the margin copies
+vectors to most parts, few or none are less work. The result does not depend on it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,14 +19,15 @@ from pyspark.sql import functions as F
 
 from .common import components, local_groups, materialize
 
-#: The centres are fitted on at most so many vectors, those with the least hash.
-MAX_SAMPLE = 20_000
-#: Vectors for one cell, on average over the whole table, until MAX_CELLS are in use.
-CELL_ROWS, MAX_CELLS = 2_000, 1_024
+#: The centres of a split are fitted on about so many of the cell's vectors, drawn by a hash of their ids.
+MAX_SAMPLE = 8_000
+#: Vectors at home in a part, on average, at least; parts of one split at most; levels at most.
+CELL_ROWS, MAX_CELLS, MAX_LEVELS = 500, 512, 6
 #: So many pairs of a product cost as much as one row sent to it; sampled vectors on which copies are estimated.
 PAIRS_A_ROW, COST_SAMPLE = 700, 2_000
-#: Rows on each side of one product.
-BLOCK_ROWS = 1_024
+#: Rows on each side of one product; rows that are dealt to the parts of a cell at a time.
+BLOCK_ROWS, DEAL_ROWS = 1_024, 2_048
+KEY = ["label", "width", "cell"]
 
 
 def centres(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
@@ -84,23 +86,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, margin: float |
 
     n_links counts the other rows with an equal label and a cosine of at least threshold; component_id is the least
     vec_id reachable. Equal vectors of one label enter the search once, with their number. Rows that cannot link (see
-    usable()) have no links and are kept. Vectors of other lengths than the sample's most common one never reach the
-    threshold with those and are compared apart. Repeated rows are rows of their own. Other columns are not read; an
-    empty table gives an empty one.
+    usable()) have no links and are kept. Vectors of different lengths are not linked and are compared apart. Repeated
+    rows are rows of their own. Other columns are not read; an empty table gives an empty one.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
     good = rows.where(usable())
     classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     classes = materialize(classes.where("id is not null"), "classes")
-    n = classes.count()
-    widths = [r[0] for r in classes.groupBy(F.size("embedding")).count().collect()]  # a handful of widths
-    edges, counts = None, None
-    for width in widths:
-        own = classes.where(F.size("embedding") == width)
-        e, c = _compare(own, n, width, threshold, margin)
-        edges, counts = (e, c) if edges is None else (edges.unionByName(e), counts.unionByName(c))
-    if edges is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    edges, counts = _compare(classes, threshold, margin)
     parts = components(edges)
     found = classes.join(counts, "id", "left").join(parts, "id", "left")
     found = found.select("label", "embedding", F.coalesce("near", F.lit(0)).alias("near"), "copies", F.coalesce("component", "id").alias("component"))
@@ -110,36 +103,66 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, margin: float |
     return joined.select("r.vec_id", links.alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("r.vec_id")).alias("kept"))
 
 
-def _compare(classes: DataFrame, n: int, width: int, threshold: float, margin: float | None) -> tuple[DataFrame, DataFrame]:
+def place(classes: DataFrame, margin: float) -> DataFrame:
+    """label, width, cell, home, id, copies, embedding: the cells in which each row of classes is needed, one of them its home.
+
+    Each level fits centres on a sample of every cell that is large, deals the vectors of those whose split saves work to
+    the parts, and goes on with the parts. The driver learns only whether a level has split anything.
+    """
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["draw", "id"])
+        rows = int(group["home_rows"].iloc[0])
+        at = cells(unit(group["embedding"].tolist()), min(MAX_CELLS, rows // CELL_ROWS), rows, margin)
+        first = {c: pd.Series([group[c].iloc[0]] * len(at), dtype=object) for c in KEY}  # of a type even where it is empty
+        return pd.DataFrame({**first, "part": np.arange(len(at)), "centre": pd.Series(list(at), dtype=object), "blocks": -(-int(group["all_rows"].iloc[0]) // DEAL_ROWS)})
+
+    def deal(own: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        if own.empty:
+            return pd.DataFrame(columns=["label", "width", "cells", "home_cell", "id", "copies", "embedding"], dtype=object)
+        parts = parts.sort_values("part")
+        row, part, nearest = spread(unit(own["embedding"].tolist()), np.array(parts["centre"].tolist(), np.float64), margin)
+        cell = (int(own["cell"].iloc[0]) + 1) * MAX_CELLS + part
+        home = np.where(own["home"], cell[nearest], -1)  # a copy has no home here
+        needed = np.split(cell, np.flatnonzero(np.diff(row)) + 1)
+        same = {c: own[c].to_numpy() for c in ("id", "copies", "embedding")}
+        return pd.DataFrame({"label": own["label"].to_numpy(object), "width": own["width"].to_numpy(), "cells": pd.Series(needed, dtype=object), "home_cell": home, **same})
+
+    now = classes.select("label", F.size("embedding").alias("width"), F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"), "id", "copies", "embedding")
+    done, draw = [], F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    for _ in range(MAX_LEVELS):
+        sizes = now.groupBy(*KEY).agg(F.count_if("home").alias("home_rows"), F.count("*").alias("all_rows"))
+        large = materialize(sizes.where(F.col("home_rows") >= 2 * CELL_ROWS), "large")
+        sample = now.where("home").join(large, KEY).withColumn("draw", draw).where(F.col("draw") < MAX_SAMPLE / F.col("home_rows"))
+        sample = sample.select(*KEY, "id", "embedding", "draw", "home_rows", "all_rows")
+        fitted = materialize(sample.groupBy(*KEY).applyInPandas(fit, "label string, width int, cell long, part int, centre array<double>, blocks int"), "centres")
+        if fitted.isEmpty():
+            break
+        split = fitted.where("part = 0").select(*KEY, "blocks")
+        done.append(now.join(split, KEY, "left_anti"))
+        # a cell's vectors meet its centres in blocks of bounded size
+        own = now.join(split, KEY).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks").groupBy(*KEY, "block")
+        theirs = fitted.select(*KEY, "part", "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block")).groupBy(*KEY, "block")
+        dealt = own.cogroup(theirs).applyInPandas(deal, "label string, width int, cells array<long>, home_cell long, id long, copies long, embedding array<float>")
+        dealt = dealt.select("label", "width", F.explode_outer("cells").alias("cell"), "home_cell", "id", "copies", "embedding")
+        now = materialize(dealt.select(*KEY, (F.col("cell") == F.col("home_cell")).alias("home"), "id", "copies", "embedding"), "placed")
+    for part in done:
+        now = now.unionByName(part)
+    return materialize(now, "placed") if done else now
+
+
+def _compare(classes: DataFrame, threshold: float, margin: float | None) -> tuple[DataFrame, DataFrame]:
     """Edges (a, b) that span the groups, and (id, near): how many rows of other classes each class links with."""
     lossless = math.sqrt(1 - threshold * threshold) if 0 < threshold < 1 else float(threshold <= 0)
-    used = lossless if margin is None else min(lossless, margin)
-    k = max(1, min(MAX_CELLS, round(n / CELL_ROWS)))
-    at = np.zeros((0, width))
-    if k > 1:
-        sample = classes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("embedding").toPandas()
-        # the group that a vector is in, by label, on average
-        group = classes.groupBy("label").count().agg(F.sum(F.pow("count", 2.0)) / F.sum("count")).first()[0]
-        at = cells(unit(sample["embedding"].tolist()), k, group, used)
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(at):
-                row, cell, home = spread(unit(b["embedding"].tolist()), at, used)
-            else:
-                row, cell, home = np.arange(len(b)), np.zeros(len(b), np.int64), np.ones(len(b), bool)
-            yield pd.DataFrame({"cell": cell, "home": home, "label": b["label"].to_numpy()[row], "id": b["id"].to_numpy()[row], "copies": b["copies"].to_numpy()[row], "embedding": b["embedding"].to_numpy()[row]})
-
-    placed = classes.select("label", "id", "copies", "embedding").mapInPandas(deal, "cell long, home boolean, label string, id long, copies long, embedding array<float>")
-    placed = materialize(placed, "placed")
+    placed = place(classes, lossless if margin is None else min(lossless, margin))
     blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
-    sizes = placed.groupBy("label", "cell").agg(blocks(F.count_if("home")).alias("home_blocks"), blocks(F.count("*")).alias("all_blocks"))
-    dealt = placed.join(sizes.where("home_blocks > 0"), ["label", "cell"])
+    sizes = placed.groupBy(*KEY).agg(blocks(F.count_if("home")).alias("home_blocks"), blocks(F.count("*")).alias("all_blocks"))
+    dealt = placed.join(sizes.where("home_blocks > 0"), KEY)
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # block i of the home rows meets block j of all rows of the cell: each product has a task of bounded size
-    left = dealt.where("home").select("label", "cell", "id", "copies", "embedding", block("home_blocks").alias("i"), F.explode(every("all_blocks")).alias("j"), F.lit(True).alias("is_home"))
-    right = dealt.select("label", "cell", "id", "copies", "embedding", F.explode(every("home_blocks")).alias("i"), block("all_blocks").alias("j"), F.lit(False).alias("is_home"))
+    left = dealt.where("home").select(*KEY, "id", "copies", "embedding", block("home_blocks").alias("i"), F.explode(every("all_blocks")).alias("j"), F.lit(True).alias("is_home"))
+    right = dealt.select(*KEY, "id", "copies", "embedding", F.explode(every("home_blocks")).alias("i"), block("all_blocks").alias("j"), F.lit(False).alias("is_home"))
 
     def product(group: pd.DataFrame) -> pd.DataFrame:
         h, m = group[group["is_home"]], group[~group["is_home"]]
@@ -153,7 +176,7 @@ def _compare(classes: DataFrame, n: int, width: int, threshold: float, margin: f
         out = pd.DataFrame({"id": np.concatenate([a, b]), "least": np.concatenate([r, c]), "near": np.concatenate([near, np.zeros(len(b), np.int64)])})
         return out[(out["near"] > 0) | (out["least"] < out["id"])]
 
-    both = left.unionByName(right).groupBy("label", "cell", "i", "j")
+    both = left.unionByName(right).groupBy(*KEY, "i", "j")
     found = materialize(both.applyInPandas(product, "id long, least long, near long"), "products")
     edges = found.where("least < id").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     return edges, found.groupBy("id").agg(F.sum("near").cast("long").alias("near"))

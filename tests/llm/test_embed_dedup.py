@@ -93,6 +93,23 @@ def test_no_link_is_lost_in_a_subspace(spark, monkeypatch):
     assert sum(w[0] for w in want.values()) > 100 and got == want
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_link_is_lost_over_several_levels(spark, monkeypatch, seed):
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 20)
+    monkeypatch.setattr(embed_dedup, "MAX_CELLS", 3)
+    monkeypatch.setattr(embed_dedup, "DEAL_ROWS", 32)
+    monkeypatch.setattr(embed_dedup, "cells", lambda sample, most, group, margin: embed_dedup.centres(sample, most))
+    rows = [(r[0], r[1], r[2] % 2) for r in ((i, v.tolist(), i) for i, v in enumerate(low_dimensional(300, 32, 3 + seed)))]
+    rows += [(900 + i, v[1][:8], v[2]) for i, v in enumerate(rows[:60])]  # another width
+    classes = spark.createDataFrame([(i, v, str(c), 1) for i, v, c in rows], "id long, embedding array<float>, label string, copies long")
+    placed = embed_dedup.place(classes, 0.3676)
+    assert max(r.cell for r in placed.select("cell").distinct().collect()) >= 12  # the parts of parts
+    assert placed.where("home").count() == placed.where("home").select("id").distinct().count() == len(rows)
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    want = brute(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want and sum(w[0] for w in want.values()) > 100
+
+
 def test_cells_are_used_where_they_save_work():
     rng = np.random.default_rng(4)
     blobs = np.repeat(np.eye(64)[:40], 100, 0) + rng.normal(size=(4000, 64)) * 0.01
