@@ -172,5 +172,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     losers = groups(docs).where("component_id < doc_id").select("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("text")
-    ranked = docs.join(losers, "doc_id", "left_anti").withColumn("_rank", F.row_number().over(order))
-    return ranked.where("_rank = 1 or doc_id is null").select(*docs.columns)
+    ranked = docs.where("doc_id is not null").join(losers, "doc_id", "left_anti").withColumn("_rank", F.row_number().over(order))
+    # rows without an id are no one group: they go past the window
+    return ranked.where("_rank = 1").select(*docs.columns).unionByName(docs.where("doc_id is null"))
