@@ -68,7 +68,8 @@ def cells(sample: np.ndarray, most: int, group: float, margin: float) -> np.ndar
         at = centres(sample, k)
         copies = len(spread(sample[:COST_SAMPLE], at, margin)[0]) / len(sample[:COST_SAMPLE])
         home = group / k
-        work = np.ceil(home * copies / BLOCK_ROWS) + copies * np.ceil(home / BLOCK_ROWS) + home * copies / PAIRS_A_ROW
+        # a split handles each row once and each of its copies once more
+        work = 1 + copies + np.ceil(home * copies / BLOCK_ROWS) + copies * np.ceil(home / BLOCK_ROWS) + home * copies / PAIRS_A_ROW
         if work < least:
             best, least = at, work
         k //= 2
