@@ -144,6 +144,22 @@ def test_crawl_and_both_branches_of_parse(spark, tmp_path):
     assert own.page_no == 1 and own.section_path == ["Order"] and "page 2 and Section 23" in own.text
 
 
+def test_crawl_parses_only_pages_it_reaches(spark, tmp_path, monkeypatch):
+    root, parsed, links = str(tmp_path), [], pipeline.html.links
+    to = {0: "<a href='/1'>1</a><a href='/2'>2</a>", 1: "<a href='/3'>3</a>", 50: "<a href='/51'>51</a>"}
+    site = [(f"https://s.org/{i}", 200, "text/html", f"<p>{to.get(i, '')}</p>".encode(), None) for i in range(100)]
+    spark.createDataFrame(site, "url string, status int, content_type string, content binary, rendered string").write.parquet(f"{root}/site")
+    (tmp_path / "seeds.json").write_text('{"home": "https://s.org/0"}')
+
+    def recorded(pages):
+        parsed.append({r.url for r in pages.collect()})
+        return links(pages)
+
+    monkeypatch.setattr(pipeline.html, "links", recorded)
+    assert pipeline.crawl_stage(spark, root) == 4
+    assert parsed == [{"https://s.org/0"}, {"https://s.org/1", "https://s.org/2"}, {"https://s.org/3"}]
+
+
 def test_seeds_keep_their_order(spark, tmp_path):
     (tmp_path / "seeds.json").write_text('{"b": "https://b", "a": "https://a"}')
     assert [(r.name, r.url) for r in files.read_seeds(spark, str(tmp_path / "seeds.json")).orderBy("ord").collect()] == [("b", "https://b"), ("a", "https://a")]
