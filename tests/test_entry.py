@@ -45,3 +45,13 @@ def test_queries_match_their_sql(spark, db, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(queries.QUERIES) <= set(entry.queries())
+
+
+def test_each_page_of_a_repeated_url_is_a_document(spark, tmp_path):
+    page = "<html><title>{0}</title><body><h1>{0}</h1><p>" + "words of a page " * 9 + "</p></body></html>"
+    urls = [f"https://a.org/{x}" for x in "xxyxx"]
+    pd.DataFrame({"page_id": [0, 1, 2, 3, 3], "url": urls, "html": [page.format(t) for t in ("First", "Second", "Other", "Third", "Third")]}).to_parquet(tmp_path / "pages.parquet")
+    got = queries.QUERIES["normalized_index"](spark, str(tmp_path)).toPandas()
+    want = database(tmp_path).execute(queries.SQL["normalized_index"]).df()
+    rows = lambda df: sorted(map(tuple, df[sorted(df.columns)].values))
+    assert rows(got) == rows(want) and set(got.title) == {"First", "Second", "Other", "Third"}
