@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quillstone.operators import chunks, sections
 from quillstone.functions import text as T
+from quillstone.plans import pipeline
 
 
 def model_blocks(text):
@@ -135,3 +136,22 @@ def test_a_document_of_very_many_lines(spark):
     assert sections.blocks(df, "doc_id").count() == 100_000
     own = chunks.chunk(df, "doc_id").orderBy("n").collect()
     assert sum(len(r.chunk_text.split()) for r in own) == 500_000 + 56 * (len(own) - 1)
+
+
+def test_chunks_need_no_shuffle(spark):
+    own = chunks.chunk(spark.createDataFrame([(1, "a b\nc")], "d int, text string").repartition(1), "d")
+    assert own._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # the test's own
+
+
+def test_records_of_one_text_have_its_chunks_each(spark):
+    text = "# H\n" + "some words of a line\n" * 150
+    docs = spark.createDataFrame([("u", "h", "T", text), ("v", "h", "T", text)], "url string, url_hash string, title string, text string")
+    got = pipeline.chunk_documents(docs).collect()
+    assert sorted((r.url, r.chunk_id, len(r.text.split())) for r in got) == [(u, f"h:{n:04d}", k) for u in "uv" for n, k in ((1, 675), (2, 131))]
+
+
+def test_a_pass_over_a_text_gives_the_blocks_of_the_windows(spark):
+    text = "# H\rc\r\nfoo \x0bbar\x0c\n\n <!-- page 3 -->\x85x\u2028## G\u2029\x1cend\r#### D\n##  \n# \u00a0\nlast \u3000"
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, text string")
+    want = [(r.block, r.page_no, r.char_start, r.char_end, r.section_path) for r in sections.blocks(df, "k").orderBy("k", "n").collect()]
+    assert list(sections.blocks_of(text)) == want

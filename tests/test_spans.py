@@ -133,3 +133,17 @@ def test_candidates_keep_all_matches(spark):
     rows = spark.createDataFrame([(1, "Section 5(1) of the Companies Act, 2013")], "k int, text string")
     own = [r.span_text for r in spans.candidates(rows, "k").collect()]
     assert {"Section 5(1)", "Section 5", "Companies Act, 2013"} <= set(own)
+
+
+def test_searches_begin_with_what_a_rule_looks_for():
+    rng = random.Random(3)
+    pieces = [t for cases in CASES.values() for t, _ in cases] + ["x", " ", "_", "9", "é", "Rs", "-", "12", "S", "₹"]
+    texts = ["".join(rng.choice(pieces)[rng.choice([0, 0, 1, 3]):] for _ in range(30)) for _ in range(60)]
+    own = {p for ruleset in ("standard", "builtin") for _, _, _, p in spans.rules(ruleset)}
+    for p in own:
+        a, b = re.compile(rf"(?<!\w){p}(?!\w)"), re.compile(rf"{spans.led(p)}(?!\w)")
+        assert [[m.span() for m in a.finditer(t)] for t in texts] == [[m.span() for m in b.finditer(t)] for t in texts], p
+    assert sum(spans.led(p).startswith("(?<!") for p in own) <= 4
+    finder = spans.Finder(spans.rules(), {}, None)
+    for text in texts:
+        assert {c[:3] for c in finder(text)} == {(label, m[0].strip(), m.start()) for label, _, _, p in spans.rules() for m in re.finditer(rf"(?<!\w){p}(?!\w)", text)}
